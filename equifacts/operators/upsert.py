@@ -21,6 +21,7 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], values: list
     ``insert_reports`` is "non_null" or "all": which columns a new row lists as changed.
     ``stamps`` maps a time column to when it is set: "created", "on_change", "always"
     (for every row in the batch), or the name of a boolean column of ``incoming``.
+    Further columns of ``target`` are carried along.
     ``_op`` is "insert", "update", "same" (in the batch, nothing new) or "keep".
     """
     stamps = stamps or {}
@@ -28,8 +29,9 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], values: list
     batch = incoming.where(has_keys(keys))
     if order is not None:
         batch = fold_rows(batch, keys, [*values, *flags], order)
+    carried = [c for c in target.columns if c not in [*keys, *values, *stamps]]
     old = target.select(
-        *keys, *[F.col(c).alias(f"_old_{c}") for c in [*values, *stamps]],
+        *keys, *[F.col(c).alias(f"_old_{c}") for c in [*values, *stamps, *carried]],
         F.lit(True).alias("_stored"))
     new = batch.select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in values],
@@ -42,7 +44,7 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], values: list
         & ~F.col(f"_new_{c}").eqNullSafe(F.col(f"_old_{c}")) for c in values}
     listed = {
         c: (d | ~stored) & given if insert_reports == "all" else d for c, d in differs.items()}
-    changed = F.array_sort(F.array_compact(
+    changed = F.sort_array(F.array_compact(
         F.array(*[F.when(d, F.lit(c)) for c, d in listed.items()])))
     marked = both.withColumn(CHANGED, changed).withColumn(
         OP, F.when(~given, "keep").when(~stored, "insert")
@@ -59,6 +61,7 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], values: list
 
     return marked.select(
         *keys, *[F.coalesce(f"_new_{c}", f"_old_{c}").alias(c) for c in values],
+        *[F.col(f"_old_{c}").alias(c) for c in carried],
         *[stamp(c, w) for c, w in stamps.items()], OP, CHANGED)
 
 

@@ -195,7 +195,7 @@ def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str,
             [resolve_errors, price_errors]).select("nse_symbol").distinct()),
         runs.count_as("static_refreshed", marked.where("stale")),
         runs.count_as("static_cache_hits", marked.where(~F.col("stale"))),
-        runs.count_as("requests_made", requests_landed(landed, todo, marked)),
+        runs.count_as("requests_made", requests_landed(landed, todo, resolved, marked)),
         runs.count_as("errors_recorded", errors),
         runs.count_as("companies_missing_fields", missing),
     ]), started_at, run_ts)
@@ -252,13 +252,14 @@ def missing_report(profiles: DataFrame, absent: DataFrame) -> DataFrame:
     return listed.select("nse_symbol", F.col("_f.field").alias("fields"))
 
 
-def requests_landed(landed: Landed, todo: DataFrame, marked: DataFrame) -> DataFrame:
+def requests_landed(landed: Landed, todo: DataFrame, resolved: DataFrame,
+                    marked: DataFrame) -> DataFrame:
     """Landed responses that belong to this run."""
     def of(frame, keys):
         return frame.select(F.col("symbol").alias("nse_symbol")).join(
             keys.select("nse_symbol"), "nse_symbol", "left_semi")
     return quality.union_all([
-        of(landed.suggest, todo), of(landed.pricefeed, marked), of(landed.results, marked),
+        of(landed.suggest, todo), of(landed.pricefeed, resolved), of(landed.results, marked),
         of(landed.pages, marked.where("stale"))])
 
 
