@@ -1,0 +1,6 @@
+"""Queries on the given tables."""
+
+from equifacts.bindings import feeds, pages, periods, universe, upserts  # noqa: F401
+from equifacts.bindings.catalog import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]

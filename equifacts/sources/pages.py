@@ -120,6 +120,13 @@ def extract_container(pages: DataFrame, html: str, rules, name: str) -> DataFram
         name, clean_text(F.col("_text"))).drop("_text")
 
 
+def flat_text(html: Column, tag: str) -> Column:
+    """Text of the first ``tag`` element, for tags that do not hold their own kind."""
+    inner = F.nullif(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1), F.lit(""))
+    # Decoded twice: as markup, then as scraped text.
+    return clean_text(unescape(F.regexp_replace(inner, "<[^>]*>", " ")))
+
+
 def _matched(html: Column, pattern: str) -> Column:
     """First group of the first match, NULL without a match."""
     return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
