@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from equifacts.bindings.catalog import Data, query
 from equifacts.functions.sentences import with_topics
 from equifacts.plans.reports import facet_report
+from equifacts.session import stage
 from equifacts.sources.pages import extract_container, extract_holdings, extract_pages, flat_text
 
 SPACES = r"[\s\x0b\x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -146,5 +147,7 @@ def facet_reports(d: Data) -> DataFrame:
     named = d.documents.select(
         F.col("source").alias("company_name"), F.col("doc_id").cast("string").alias("nse_symbol"),
         "text")
-    view = with_topics(named, "text", {k: TOPICS[k] for k in ("rare", "absent")})
+    # Reports read stored facets, so the texts are searched once.
+    found = with_topics(named, "text", {k: TOPICS[k] for k in ("rare", "absent")}).drop("text")
+    view = stage(found, "facets")
     return facet_report(view, "rare", "Facet").unionByName(facet_report(view, "absent", "Facet"))

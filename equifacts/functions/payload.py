@@ -44,7 +44,11 @@ def text(v: Column, path: str) -> Column:
     return clean_text(raw_text(v, path))
 
 
+def truth(v: Column, path: str) -> Column:
+    """1 and 0 for a JSON true and false, NULL for anything else."""
+    return F.when(kind(child(v, path)) == "BOOLEAN", F.try_variant_get(v, path, "double"))
+
+
 def number(v: Column, path: str) -> Column:
     """Number at ``path``: numbers pass, true and false count 1 and 0, texts are parsed."""
-    truth = F.when(kind(child(v, path)) == "BOOLEAN", F.try_variant_get(v, path, "double"))
-    return F.coalesce(truth, parse_number(raw_text(v, path)))
+    return F.coalesce(truth(v, path), parse_number(raw_text(v, path)))

@@ -1,6 +1,6 @@
 """Topic sentences of a prose column."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equifacts.functions.text import SPACE, rstrip, strip
@@ -33,15 +33,25 @@ def shorten(text: Column, length: int = FACET_LENGTH) -> Column:
     return F.when(F.length(text) > length, cut).otherwise(text)
 
 
-def topic_text(parts: Column, words: str, length: int = FACET_LENGTH) -> Column:
+def topic_sentences(parts: Column, words: str) -> Column:
     """Sentences holding one of ``words`` as a whole word, joined; NULL when none does."""
     hits = F.filter(parts, lambda s: s.rlike(rf"(?iuU)\b({words})\b"))
-    joined = F.array_join(F.transform(hits, strip), " ")
-    return F.when(F.size(hits) > 0, shorten(joined, length))
+    # A sentence that holds a word is not empty, so an empty text means no sentence.
+    return F.nullif(F.array_join(F.transform(hits, strip), " "), F.lit(""))
+
+
+def topic_text(parts: Column, words: str, length: int = FACET_LENGTH) -> Column:
+    return shorten(topic_sentences(parts, words), length)
+
 
+def with_topics(df: DataFrame, text: str, topics: dict[str, str] = TOPICS,
+                length: int = FACET_LENGTH) -> DataFrame:
+    """Add one facet column per topic.
 
-def with_topics(df, text: str, topics: dict[str, str] = TOPICS, length: int = FACET_LENGTH):
-    """Add one facet column per topic. The split is done once per row."""
+    The split and each topic's text are columns of their own, so that they are computed
+    once per row although several expressions use them.
+    """
     split = df.withColumn("_parts", sentences(F.col(text)))
-    facets = {name: topic_text(F.col("_parts"), words, length) for name, words in topics.items()}
-    return split.withColumns(facets).drop("_parts")
+    joined = split.withColumns({
+        n: topic_sentences(F.col("_parts"), w) for n, w in topics.items()})
+    return joined.drop("_parts").withColumns({n: shorten(F.col(n), length) for n in topics})

@@ -3,14 +3,14 @@
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 # Texts that mean "no value".
 PLACEHOLDERS = ["", "-", "--", "N.A.", "NA", "null", "None"]
 # Currency and unit marks that are not part of a number.
-NUMBER_MARKS = r"(?iu)[,\s%₹]|Rs\.?|Cr\.?"
+NUMBER_MARKS = r"(?iuU)[,\s\x1c-\x1f%₹]|Rs\.?|Cr\.?"
 # Month abbreviations; the position is the month number.
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 # Fixed value: shape of a period label such as "Mar '26" or "December 2025".
@@ -40,10 +40,18 @@ def unescape(c: Column) -> Column:
 
 def unescape_each(c: Column) -> Column:
     """``unescape`` for an array of texts."""
-    has_entity = F.exists(c, lambda t: t.contains("&"))
+    has_entity = F.array_join(c, "").contains("&")
     return F.coalesce(_unescape_each(F.when(has_entity, c)), c)
 
 
+def unescape_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """Decode several columns in one trip to Python, which rows without entities skip."""
+    packed = df.withColumn("_packed", F.array(*names))
+    decoded = packed.withColumn("_packed", unescape_each(F.col("_packed")))
+    return decoded.withColumns(
+        {n: F.col("_packed")[i] for i, n in enumerate(names)}).drop("_packed")
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+$", "")
 
@@ -62,15 +70,20 @@ def clean_text(c: Column) -> Column:
     return normalise(unescape(c))
 
 
-def parse_number(c: Column) -> Column:
-    """Number in a scraped text ("Rs. 1,234.50 Cr"), NULL when it holds none.
+def to_number(c: Column) -> Column:
+    """Number in a decoded text ("Rs. 1,234.50 Cr"), NULL when it holds none.
 
-    The guard keeps out spellings that only a cast would accept (``1d``, ``nan``).
+    A placeholder holds none either. The guard keeps out spellings that only a cast would
+    accept (``1d``, ``nan``).
     """
-    digits = F.regexp_replace(clean_text(c), NUMBER_MARKS, "")
+    digits = F.regexp_replace(c, NUMBER_MARKS, "")
     return F.when(digits.rlike(DECIMAL), digits.try_cast("double"))
 
 
+def parse_number(c: Column) -> Column:
+    return to_number(unescape(c))
+
+
 def first_number(*cols: Column) -> Column:
     return F.coalesce(*[parse_number(c) for c in cols])
 

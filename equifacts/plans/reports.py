@@ -123,16 +123,20 @@ def holding_rows(holdings: DataFrame, companies: DataFrame, scope: DataFrame) ->
 
 def facet_report(view: DataFrame, facet: str, label: str) -> DataFrame:
     """Companies with the facet, or one row saying that there is none."""
-    filled = by_name(view.where(F.col(facet).isNotNull() & (F.col(facet) != ""))).select(
-        F.col("company_name").alias("Company Name"), F.col("nse_symbol").alias("NSE Symbol"),
-        F.col(facet).alias(label))
-    return or_placeholder(filled, f"No {label.lower()} information found in company profiles")
+    filled = view.where(F.col(facet).isNotNull() & (F.col(facet) != ""))
+    headers = {"Company Name": "company_name", "NSE Symbol": "nse_symbol", label: facet}
+    return or_placeholder(
+        printed(by_name(filled), headers), printed(filled, headers),
+        f"No {label.lower()} information found in company profiles")
 
 
-def or_placeholder(rows: DataFrame, text: str) -> DataFrame:
-    """``rows``, or one row with ``text`` in the first column when there are none."""
+def or_placeholder(rows: DataFrame, unordered: DataFrame, text: str) -> DataFrame:
+    """``rows``, or one row with ``text`` in the first column when there are none.
+
+    Whether there are any is asked of the ``unordered`` rows, which stops at the first.
+    """
     first, *others = rows.schema
-    none = rows.limit(1).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == 0).select(
+    none = unordered.limit(1).agg(F.count(F.lit(1)).alias("_n")).where("_n = 0").select(
         F.lit(text).cast(first.dataType).alias(first.name),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in others])
     return rows.unionByName(none)

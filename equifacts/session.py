@@ -14,8 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key in a join even when the aggregate after it then needs a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Pages reach a megabyte each: keep a batch sent to Python within a few hundred.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 

@@ -3,9 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equifacts.functions.text import clean_text
+from equifacts.functions.text import normalise, unescape_columns
 from equifacts.schemas import CONSTITUENT_CSV
 
+ORDERED = ["index_key", "index_rank", "block_start", "row_pos"]
+
 
 def read_constituents(spark: SparkSession, paths, registry: DataFrame) -> DataFrame:
     """Rows of every registered file, tagged with their index.
@@ -27,10 +29,12 @@ def read_constituents(spark: SparkSession, paths, registry: DataFrame) -> DataFr
 
 def clean_constituents(rows: DataFrame) -> DataFrame:
     """Clean the fields, drop rows without symbol or name, default the others to ''."""
-    cleaned = rows.select(
-        clean_text(F.col("Symbol")).alias("nse_symbol"),
-        clean_text(F.col("Company Name")).alias("company_name"),
-        F.coalesce(clean_text(F.col("Industry")), F.lit("")).alias("nse_industry"),
-        F.coalesce(clean_text(F.col("ISIN Code")), F.lit("")).alias("isin"),
-        "index_key", "index_rank", "block_start", "row_pos")
-    return cleaned.where(F.col("nse_symbol").isNotNull() & F.col("company_name").isNotNull())
+    named = rows.withColumnsRenamed({
+        "Symbol": "nse_symbol", "Company Name": "company_name", "Industry": "nse_industry",
+        "ISIN Code": "isin"})
+    texts = ["nse_symbol", "company_name", "nse_industry", "isin"]
+    decoded = unescape_columns(named.select(*texts, *ORDERED), texts)
+    cleaned = decoded.withColumns({t: normalise(F.col(t)) for t in texts})
+    kept = cleaned.where(F.col("nse_symbol").isNotNull() & F.col("company_name").isNotNull())
+    return kept.withColumns({
+        t: F.coalesce(F.col(t), F.lit("")) for t in ("nse_industry", "isin")})

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equifacts.functions import payload
-from equifacts.functions.text import clean_text, first_number, parse_number
+from equifacts.functions.text import normalise, to_number, unescape_columns
 from equifacts.schemas import PERIOD_FIELDS
 
 # Price-feed keys of the market columns.
@@ -41,8 +41,17 @@ RESULT_KINDS = {"quarterly": "Q", "yearly": "Y"}
 FEED_ROWS = 8
 
 
-def _raw(v: Column, keys: list[str]) -> dict[str, Column]:
-    return {f"_{k}": payload.raw_text(v, payload.key_path(k)) for k in keys}
+def _texts(df: DataFrame, v: Column, keys: list[str], carry: list) -> DataFrame:
+    """The scalars of an object under its keys as decoded texts, beside ``carry``."""
+    raw = df.select(
+        *carry, *[payload.raw_text(v, payload.key_path(k)).alias(f"_{i}")
+                  for i, k in enumerate(keys)])
+    return unescape_columns(raw, [f"_{i}" for i in range(len(keys))])
+
+
+def _first(keys: list[str], wanted: list[str], make) -> Column:
+    """First filled result of ``make`` over the texts of the wanted keys."""
+    return F.coalesce(*[make(F.col(f"_{keys.index(k)}")) for k in wanted])
 
 
 def suggest_entries(landed: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
@@ -53,15 +62,14 @@ def suggest_entries(landed: DataFrame, keys: list[str], body: str = "body") -> D
     entries = landed.select(
         *keys, F.posexplode(payload.items(payload.parse(F.col(body)))).alias("pos", "_entry")
     ).where(payload.is_object(F.col("_entry")))
-    raw = entries.withColumns(
-        _raw(F.col("_entry"), ["sc_id", "link_src", "name", "sc_sector", "pdt_dis_nm"]))
-    return raw.select(
+    entry = F.col("_entry")
+    # The display text is matched as it came, the others are cleaned.
+    display = F.coalesce(payload.raw_text(entry, "$.pdt_dis_nm"), F.lit("")).alias("display")
+    names = {"sc_id": "sc_id", "link": "link_src", "name": "name", "sector": "sc_sector"}
+    texts = _texts(entries, entry, list(names.values()), [*keys, "pos", display])
+    return texts.select(
         *keys, "pos",
-        clean_text(F.col("_sc_id")).alias("sc_id"),
-        clean_text(F.col("_link_src")).alias("link"),
-        clean_text(F.col("_name")).alias("name"),
-        clean_text(F.col("_sc_sector")).alias("sector"),
-        F.coalesce(F.col("_pdt_dis_nm"), F.lit("")).alias("display"))
+        *[normalise(F.col(f"_{i}")).alias(n) for i, n in enumerate(names)], "display")
 
 
 def price_rows(landed: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
@@ -77,23 +85,16 @@ def price_rows(landed: DataFrame, keys: list[str], body: str = "body") -> DataFr
         .when(~payload.is_object(F.col("_data")), "empty")
         .when(payload.kind(F.col("_data")) == "OBJECT<>", "empty")
         .otherwise("ok"))
+    truths = {k: payload.truth(F.col("_data"), payload.key_path(k)).alias(f"_truth_{n}")
+              for n, k in MARKET_KEYS.items()}
     names = [*MARKET_KEYS.values(), *(k for ks in ATTRIBUTE_KEYS.values() for k in ks)]
-    raw = data.select(
-        *keys, state.alias("feed_state"),
-        *[c.alias(n) for n, c in _raw(F.col("_data"), names).items()],
-        *[(payload.kind(payload.child(F.col("_data"), payload.key_path(k))) == "BOOLEAN")
-          .alias(f"_bool_{k}") for k in MARKET_KEYS.values()])
-    return raw.select(
+    texts = _texts(
+        data, F.col("_data"), names, [*keys, state.alias("feed_state"), *truths.values()])
+    return texts.select(
         *keys, "feed_state",
-        *[_number(k).alias(n) for n, k in MARKET_KEYS.items()],
-        *[F.coalesce(*[clean_text(F.col(f"_{k}")) for k in ks]).alias(n)
-          for n, ks in ATTRIBUTE_KEYS.items()])
-
-
-def _number(key: str) -> Column:
-    """A JSON true or false counts as 1 or 0; texts and numbers are parsed."""
-    truth = F.when(F.col(f"_bool_{key}"), (F.col(f"_{key}") == "true").cast("double"))
-    return F.coalesce(truth, parse_number(F.col(f"_{key}")))
+        *[F.coalesce(F.col(f"_truth_{n}"), _first(names, [k], to_number)).alias(n)
+          for n, k in MARKET_KEYS.items()],
+        *[_first(names, ks, normalise).alias(n) for n, ks in ATTRIBUTE_KEYS.items()])
 
 
 def result_rows(landed: DataFrame, keys: list[str], body: str = "body",
@@ -101,21 +102,15 @@ def result_rows(landed: DataFrame, keys: list[str], body: str = "body",
                 measures: dict[str, list[str]] = MEASURE_KEYS) -> DataFrame:
     """Period rows of each results feed: the first ``limit`` entries, newest first in the
     feed, that carry a label and a decisive measure."""
+    listed = payload.items(payload.parse(F.col(body)), "$.data")
     entries = landed.select(
-        *keys,
-        F.posexplode(payload.items(payload.parse(F.col(body)), "$.data")).alias("pos", "_entry")
-    ).where((F.col("pos") < limit) & payload.is_object(F.col("_entry")))
-    used = list(dict.fromkeys([label_key, *(k for ks in measures.values() for k in ks)]))
-    names = {k: i for i, k in enumerate(used)}
-    raw = entries.select(
-        *keys, "pos",
-        *[payload.raw_text(F.col("_entry"), payload.key_path(k)).alias(f"_{i}")
-          for k, i in names.items()])
-    rows = raw.select(
-        *keys, "pos",
-        clean_text(F.col(f"_{names[label_key]}")).alias("period_label"),
-        *[first_number(*[F.col(f"_{names[k]}") for k in ks]).alias(n)
-          for n, ks in measures.items()])
+        *keys, F.posexplode(F.slice(listed, 1, limit)).alias("pos", "_entry")
+    ).where(payload.is_object(F.col("_entry")))
+    names = list(dict.fromkeys([label_key, *(k for ks in measures.values() for k in ks)]))
+    texts = _texts(entries, F.col("_entry"), names, [*keys, "pos"])
+    rows = texts.select(
+        *keys, "pos", _first(names, [label_key], normalise).alias("period_label"),
+        *[_first(names, ks, to_number).alias(n) for n, ks in measures.items()])
     return keep_filled(rows, [m for m in DECISIVE if m in measures])
 
 

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from equifacts.functions import payload
-from equifacts.functions.text import clean_text, normalise, unescape, unescape_each
+from equifacts.functions.text import (
+    clean_text,
+    normalise,
+    unescape,
+    unescape_columns,
+    unescape_each,
+)
 
 # Where the summary stands (enclosing id, class), first present wins.
 SUMMARY_RULES = [("id", "company_info", "class", "morepls_cnt"),
@@ -156,16 +162,11 @@ def extract_pages(pages: DataFrame, keys: list[str], html: str = "body",
         payload.raw_text(info, "$.details.isinid").alias("_isin"),
         _people(info, "name").alias("_names"),
         _people(info, "designation").alias("_posts"))
-    cleaned = raw.select(
-        *keys,
-        clean_text(F.col("_summary")).alias("_summary"),
-        *[clean_text(F.col(f"_{k}")).alias(f"_{k}") for k in ADDRESS_PARTS],
-        clean_text(F.col("_web")).alias("website"),
-        clean_text(F.col("_email")).alias("email"),
-        clean_text(F.col("_telephone1")).alias("phone"),
-        clean_text(F.col("_registrar")).alias("registrar"),
-        clean_text(F.col("_bse")).alias("bse_symbol"),
-        clean_text(F.col("_isin")).alias("isin"),
+    texts = ["_summary", *[f"_{k}" for k in ADDRESS_PARTS], "_web", "_email", "_telephone1",
+             "_registrar", "_bse", "_isin"]
+    decoded = unescape_columns(raw, texts)
+    cleaned = decoded.select(
+        *keys, *[normalise(F.col(t)).alias(t) for t in texts],
         F.transform(unescape_each(F.col("_names")), normalise).alias("_names"),
         F.transform(unescape_each(F.col("_posts")), normalise).alias("_posts"))
     people = F.zip_with(
@@ -176,11 +177,11 @@ def extract_pages(pages: DataFrame, keys: list[str], html: str = "body",
     return cleaned.select(
         *keys,
         F.when(~plain.isin(NO_SUMMARY), F.col("_summary")).alias("business_summary"),
-        "website", "email",
+        F.col("_web").alias("website"), F.col("_email").alias("email"),
         F.nullif(F.concat_ws(", ", *[f"_{k}" for k in ADDRESS_PARTS]), F.lit("")).alias("address"),
-        "phone", "registrar",
+        F.col("_telephone1").alias("phone"), F.col("_registrar").alias("registrar"),
         F.nullif(F.array_join(people, "; "), F.lit("")).alias("management"),
-        "bse_symbol", "isin")
+        F.col("_bse").alias("bse_symbol"), F.col("_isin").alias("isin"))
 
 
 def _people(info: Column, key: str) -> Column:

@@ -249,8 +249,9 @@ def test_integrity(spark):
 
 def test_placeholder(spark):
     df = spark.createDataFrame([("A", 1)], "name string, x int")
-    assert [tuple(r) for r in reports.or_placeholder(df, "none").collect()] == [("A", 1)]
-    empty = reports.or_placeholder(df.where("x > 1"), "none")
+    assert [tuple(r) for r in reports.or_placeholder(df, df, "none").collect()] == [("A", 1)]
+    none = df.where("x > 1")
+    empty = reports.or_placeholder(none, none, "none")
     assert [tuple(r) for r in empty.collect()] == [("none", None)]
     assert "Join" not in empty._jdf.queryExecution().executedPlan().toString()
 
