@@ -35,9 +35,14 @@ def key_path(key: str) -> str:
 
 def raw_text(v: Column, path: str) -> Column:
     """Scalar at ``path`` as text; NULL for objects and arrays."""
-    found = kind(child(v, path))
-    scalar = ~(found.startswith("OBJECT") | found.startswith("ARRAY"))
-    return F.when(scalar, F.try_variant_get(v, path, "string"))
+    return scalar_only(F.try_variant_get(v, path, "string"), v, path)
+
+
+def scalar_only(found: Column, v: Column, path: str) -> Column:
+    """``found`` unless it prints an object or array. Only texts that look like one are
+    looked up a second time."""
+    return F.when(~F.left(found, F.lit(1)).isin("{", "["), found).when(
+        kind(child(v, path)) == "STRING", found)
 
 
 def text(v: Column, path: str) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-# Texts that mean "no value".
-PLACEHOLDERS = ["", "-", "--", "N.A.", "NA", "null", "None"]
+# Texts that mean "no value", besides the empty one.
+PLACEHOLDERS = r"^(-|--|N\.A\.|NA|null|None)$"
 # Currency and unit marks that are not part of a number.
 NUMBER_MARKS = r"(?iuU)[,\s\x1c-\x1f%₹]|Rs\.?|Cr\.?"
 # Month abbreviations; the position is the month number.
@@ -33,6 +33,12 @@ def _unescape_each(texts: pd.Series) -> pd.Series:
         na_action="ignore")
 
 
+# Not declared deterministic, so that a filter on the result is applied to the result
+# instead of being pushed below with a second call of the function.
+_unescape = _unescape.asNondeterministic()
+_unescape_each = _unescape_each.asNondeterministic()
+
+
 def unescape(c: Column) -> Column:
     """Decode HTML entities. Only texts holding an ampersand travel to Python."""
     return F.coalesce(_unescape(F.when(c.contains("&"), c)), c)
@@ -63,7 +69,7 @@ def rstrip(c: Column) -> Column:
 def normalise(c: Column) -> Column:
     """Collapse white space, trim, and turn placeholders into NULL."""
     text = F.trim(F.regexp_replace(c, rf"(?U){SPACE}+", " "))
-    return F.when(~text.isin(PLACEHOLDERS), text)
+    return F.nullif(F.regexp_replace(text, PLACEHOLDERS, ""), F.lit(""))
 
 
 def clean_text(c: Column) -> Column:
@@ -73,11 +79,11 @@ def clean_text(c: Column) -> Column:
 def to_number(c: Column) -> Column:
     """Number in a decoded text ("Rs. 1,234.50 Cr"), NULL when it holds none.
 
-    A placeholder holds none either. The guard keeps out spellings that only a cast would
+    A placeholder holds none either. The pattern keeps out spellings that only a cast would
     accept (``1d``, ``nan``).
     """
     digits = F.regexp_replace(c, NUMBER_MARKS, "")
-    return F.when(digits.rlike(DECIMAL), digits.try_cast("double"))
+    return F.regexp_extract(digits, DECIMAL, 0).try_cast("double")
 
 
 def parse_number(c: Column) -> Column:

@@ -41,12 +41,18 @@ RESULT_KINDS = {"quarterly": "Q", "yearly": "Y"}
 FEED_ROWS = 8
 
 
-def _texts(df: DataFrame, v: Column, keys: list[str], carry: list) -> DataFrame:
-    """The scalars of an object under its keys as decoded texts, beside ``carry``."""
-    raw = df.select(
-        *carry, *[payload.raw_text(v, payload.key_path(k)).alias(f"_{i}")
-                  for i, k in enumerate(keys)])
-    return unescape_columns(raw, [f"_{i}" for i in range(len(keys))])
+def _texts(df: DataFrame, v: str, keys: list[str], carry: list) -> DataFrame:
+    """The scalars of an object under its keys as decoded texts, beside ``carry``.
+
+    Looking up and checking are two projections, so that each key is looked up once.
+    """
+    names = [f"_{i}" for i in range(len(keys))]
+    paths = dict(zip(names, map(payload.key_path, keys)))
+    found = df.select(*carry, v, *[
+        F.try_variant_get(v, p, "string").alias(n) for n, p in paths.items()])
+    scalars = found.withColumns({
+        n: payload.scalar_only(F.col(n), F.col(v), p) for n, p in paths.items()})
+    return unescape_columns(scalars.drop(v), names)
 
 
 def _first(keys: list[str], wanted: list[str], make) -> Column:
@@ -66,7 +72,7 @@ def suggest_entries(landed: DataFrame, keys: list[str], body: str = "body") -> D
     # The display text is matched as it came, the others are cleaned.
     display = F.coalesce(payload.raw_text(entry, "$.pdt_dis_nm"), F.lit("")).alias("display")
     names = {"sc_id": "sc_id", "link": "link_src", "name": "name", "sector": "sc_sector"}
-    texts = _texts(entries, entry, list(names.values()), [*keys, "pos", display])
+    texts = _texts(entries, "_entry", list(names.values()), [*keys, "pos", display])
     return texts.select(
         *keys, "pos",
         *[normalise(F.col(f"_{i}")).alias(n) for i, n in enumerate(names)], "display")
@@ -89,7 +95,7 @@ def price_rows(landed: DataFrame, keys: list[str], body: str = "body") -> DataFr
               for n, k in MARKET_KEYS.items()}
     names = [*MARKET_KEYS.values(), *(k for ks in ATTRIBUTE_KEYS.values() for k in ks)]
     texts = _texts(
-        data, F.col("_data"), names, [*keys, state.alias("feed_state"), *truths.values()])
+        data, "_data", names, [*keys, state.alias("feed_state"), *truths.values()])
     return texts.select(
         *keys, "feed_state",
         *[F.coalesce(F.col(f"_truth_{n}"), _first(names, [k], to_number)).alias(n)
@@ -107,7 +113,7 @@ def result_rows(landed: DataFrame, keys: list[str], body: str = "body",
         *keys, F.posexplode(F.slice(listed, 1, limit)).alias("pos", "_entry")
     ).where(payload.is_object(F.col("_entry")))
     names = list(dict.fromkeys([label_key, *(k for ks in measures.values() for k in ks)]))
-    texts = _texts(entries, F.col("_entry"), names, [*keys, "pos"])
+    texts = _texts(entries, "_entry", names, [*keys, "pos"])
     rows = texts.select(
         *keys, "pos", _first(names, [label_key], normalise).alias("period_label"),
         *[_first(names, ks, to_number).alias(n) for n, ks in measures.items()])

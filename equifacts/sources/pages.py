@@ -118,7 +118,7 @@ def container_text(html: Column, rules) -> Column:
     possible = F.lit(False)
     for marker in markers:
         possible = possible | F.contains(F.lower(html), F.lit(marker.lower()))
-    return walk(F.when(possible, html))
+    return walk.asNondeterministic()(F.when(possible, html))
 
 
 def extract_container(pages: DataFrame, html: str, rules, name: str) -> DataFrame:
