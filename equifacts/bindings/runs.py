@@ -9,6 +9,7 @@ from equifacts.operators import quality
 from equifacts.operators.refresh import finished, mark_stale, run_scope, unfinished
 from equifacts.plans import runs
 from equifacts.plans.reports import error_report
+from equifacts.session import stage
 
 RUN_TS = "2001-12-31 12:00:00"
 
@@ -60,8 +61,9 @@ def run_scopes(d: Data) -> DataFrame:
     return run_scope(succeeded, finished(ledger(d), "r1998"), "nse_symbol")
 
 
-def gated(d: Data):
-    """Overdrawn customers do not resolve; those without an open order have no price feed."""
+def gated(d: Data) -> tuple[DataFrame, DataFrame]:
+    """Good companies and errors. Overdrawn customers do not resolve; those without an open
+    order have no price feed. The join is staged, since both results read it."""
     base = d.customer.select(
         F.col("c_custkey").alias("nse_symbol"), F.col("c_name").alias("company_name"),
         "c_nationkey", "c_mktsegment", "c_acctbal")
@@ -70,7 +72,7 @@ def gated(d: Data):
         F.when(F.col("c_acctbal") < 0, "No vendor match for symbol/ISIN"), RUN_TS, "company_name")
     counts = d.orders.groupBy(F.col("o_custkey").alias("nse_symbol")).agg(
         F.count_if(F.col("o_orderstatus") == "O").alias("open_orders"))
-    fed = resolved.join(counts, "nse_symbol", "left")
+    fed = stage(resolved.join(counts, "nse_symbol", "left"), "fed")
     good, unfed = quality.split_errors(
         fed, "nse_symbol", "pricefeed",
         F.when(F.coalesce("open_orders", F.lit(0)) == 0, "Empty price feed"), RUN_TS)
@@ -202,17 +204,18 @@ SELECT unnest([
 ], recursive := true) FROM counted""")
 def run_summary(d: Data) -> DataFrame:
     good, errors = gated(d)
+    stale = F.col("c_mktsegment") == "BUILDING"
     run = runs.run_counters([
-        runs.count_as("indices_fetched", d.orders, F.count_distinct("o_orderpriority")),
-        runs.count_as("constituents_seen", d.orders, F.count_distinct("o_custkey")),
-        runs.count_as("it_companies", d.customer),
-        runs.count_as("companies_scraped", good),
-        runs.count_as("companies_failed", errors),
-        runs.count_as("static_refreshed", good.where("c_mktsegment = 'BUILDING'")),
-        runs.count_as("static_cache_hits", good.where("c_mktsegment <> 'BUILDING'")),
-        runs.count_as("requests_made", d.orders),
-        runs.count_as("errors_recorded", errors),
-        runs.count_as("companies_missing_fields", missing(good))])
+        runs.counters(d.orders, requests_made=F.count(F.lit(1))),
+        runs.rows_in(d.orders.select("o_orderpriority").distinct(), "indices_fetched"),
+        runs.rows_in(d.orders.select("o_custkey").distinct(), "constituents_seen"),
+        runs.rows_in(d.customer, "it_companies"),
+        runs.counters(
+            good, companies_scraped=F.count(F.lit(1)), static_refreshed=F.count_if(stale),
+            static_cache_hits=F.count_if(~stale)),
+        runs.counters(
+            errors, companies_failed=F.count(F.lit(1)), errors_recorded=F.count(F.lit(1))),
+        runs.rows_in(missing(good), "companies_missing_fields")])
     return runs.execution_summary(runs.with_times(run, "2001-12-31 11:30:15", RUN_TS))
 
 

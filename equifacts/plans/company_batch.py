@@ -26,7 +26,7 @@ from equifacts.operators.replace import replace_given, replace_processed
 from equifacts.operators.resolve import pick_identity
 from equifacts.operators.upsert import upsert
 from equifacts.plans import reports, runs
-from equifacts.plans.universe import INDUSTRIES, discover, merged_constituents
+from equifacts.plans.universe import INDUSTRIES, discover
 from equifacts.schemas import MARKET_FIELDS, PERIOD_FIELDS, PROFILE_FIELDS, REPORTED_FIELDS
 from equifacts.session import stage
 from equifacts.sources.feeds import RESULT_KINDS, price_rows, suggest_entries, typed_results
@@ -187,17 +187,17 @@ def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str,
     missing = stage(missing_report(profiles, absent), "missing")
     scope = run_scope(good, done.join(universe, "nse_symbol", "left_semi"), "nse_symbol")
     run = runs.with_times(runs.run_counters([
-        runs.count_as("indices_fetched", registry),
-        runs.count_as("constituents_seen", merged_constituents(landed.constituents)),
-        runs.count_as("it_companies", universe),
-        runs.count_as("companies_scraped", good),
-        runs.count_as("companies_failed", quality.union_all(
-            [resolve_errors, price_errors]).select("nse_symbol").distinct()),
-        runs.count_as("static_refreshed", marked.where("stale")),
-        runs.count_as("static_cache_hits", marked.where(~F.col("stale"))),
-        runs.count_as("requests_made", requests_landed(landed, todo, resolved, marked)),
-        runs.count_as("errors_recorded", errors),
-        runs.count_as("companies_missing_fields", missing),
+        runs.rows_in(registry, "indices_fetched"),
+        runs.rows_in(seen_symbols(landed.constituents), "constituents_seen"),
+        runs.rows_in(universe, "it_companies"),
+        runs.rows_in(good, "companies_scraped"),
+        runs.rows_in(quality.union_all(
+            [resolve_errors, price_errors]).select("nse_symbol").distinct(), "companies_failed"),
+        runs.counters(
+            marked, static_refreshed=F.count_if("stale"), static_cache_hits=F.count_if(~F.col("stale"))),
+        runs.rows_in(requests_landed(landed, todo, resolved, marked), "requests_made"),
+        runs.rows_in(errors, "errors_recorded"),
+        runs.rows_in(missing, "companies_missing_fields"),
     ]), started_at, run_ts)
     run = stage(run, "run")
     tables.append("scrape_runs", run.withColumns(
@@ -240,6 +240,10 @@ def publish_batch(tables: Tables, batch, good, periods, holdings, memberships,
     return versions
 
 
+def seen_symbols(constituents: DataFrame) -> DataFrame:
+    return constituents.select("nse_symbol").distinct()
+
+
 def missing_report(profiles: DataFrame, absent: DataFrame) -> DataFrame:
     """Missing fields per company: absent feeds first, then profile fields as declared."""
     order = [f"{k}_results" for k in RESULT_KINDS] + REPORTED_FIELDS

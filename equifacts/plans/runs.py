@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equifacts.functions.text import stamp_text
+from equifacts.operators.quality import union_all
 
 # Lines of the run summary, in print order.
 SUMMARY_LINES = {
@@ -23,18 +24,20 @@ SUMMARY_LINES = {
 }
 
 
-def count_as(name: str, df: DataFrame, value: Column | None = None) -> DataFrame:
-    """A one-row counter table; rows are counted unless an aggregate is given."""
-    counted = F.count(F.lit(1)) if value is None else value
-    return df.agg(F.coalesce(counted, F.lit(0)).cast("long").alias("value")).select(
-        F.lit(name).alias("counter"), "value")
+def counters(df: DataFrame, **aggregates: Column) -> DataFrame:
+    """(counter, value) rows of several aggregates taken in one pass over ``df``."""
+    row = df.agg(*[F.coalesce(a, F.lit(0)).cast("long").alias(n) for n, a in aggregates.items()])
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("counter"), F.col(n).alias("value")) for n in aggregates])))
 
 
-def run_counters(counters: list[DataFrame]) -> DataFrame:
-    """One row with a column per counter, out of one-row counter tables."""
-    rows = counters[0]
-    for more in counters[1:]:
-        rows = rows.unionByName(more)
+def rows_in(df: DataFrame, name: str) -> DataFrame:
+    return counters(df, **{name: F.count(F.lit(1))})
+
+
+def run_counters(parts: list[DataFrame]) -> DataFrame:
+    """One row with a column per counter, out of (counter, value) rows."""
+    rows = union_all(parts)
     names = [n for n in SUMMARY_LINES if n not in ("started_at", "finished_at", "duration_seconds")]
     return rows.agg(*[
         F.coalesce(F.max(F.when(F.col("counter") == n, F.col("value"))), F.lit(0)).alias(n)

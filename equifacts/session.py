@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,9 +34,12 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="equifacts-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="equifacts-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -2,7 +2,9 @@
 
 A table is split into hash buckets of its first key column. Publishing a version writes
 the touched buckets into a new folder and then appends one manifest row per bucket, so a
-reader sees all of a version or nothing, and untouched buckets are not rewritten.
+reader sees all of a version or nothing, and untouched buckets are not rewritten. The
+number of buckets is fixed for a table's life: choose it so that one bucket is a few
+gigabytes. One writer per table at a time.
 """
 
 from pyspark.errors import AnalysisException
@@ -27,7 +29,7 @@ AUDIT = [OP, CHANGED]
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, layouts=TABLES,
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 256, layouts=TABLES,
                  keys=KEYS):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.layouts, self.keys = layouts, keys
