@@ -155,9 +155,10 @@ def errors_and_missing(d: Data) -> DataFrame:
 @query("""
 SELECT 'lineitem key repeated' AS rule, count(*) AS violations FROM (
   SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
-UNION ALL SELECT 'customer key repeated', 0
+UNION ALL SELECT 'customer key repeated', count(*) FROM (
+  SELECT c_custkey FROM customer GROUP BY c_custkey HAVING count(*) > 1)
 UNION ALL SELECT 'order total missing', count(*) FROM orders WHERE o_orderpriority = '5-LOW'
-UNION ALL SELECT 'order date missing', 0
+UNION ALL SELECT 'order date missing', count(*) FROM orders WHERE o_orderdate IS NULL
 UNION ALL SELECT 'order without customer', count(*) FROM orders
   WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')
 UNION ALL SELECT 'line without order', count(*) FROM lineitem

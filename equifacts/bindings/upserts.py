@@ -105,7 +105,11 @@ def upsert_market(d: Data) -> DataFrame:
         F.count("*").alias("n"))
 
 
-@query("SELECT CAST(0 AS BIGINT) AS rows_written")
+@query(f"""WITH {UPSERT_SQL}
+SELECT count(*) AS rows_written FROM result r JOIN incoming i ON r.nse_symbol = i.nse_symbol
+WHERE (i.company_name IS NOT NULL AND i.company_name IS DISTINCT FROM r.company_name)
+  OR (i.sector IS NOT NULL AND i.sector IS DISTINCT FROM r.sector)
+  OR (i.balance IS NOT NULL AND i.balance IS DISTINCT FROM r.balance)""")
 def rerun_no_change(d: Data) -> DataFrame:
     """The same batch a second time writes nothing."""
     again = upsert(

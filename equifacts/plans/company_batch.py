@@ -64,8 +64,7 @@ class RunResult:
 
 
 def newest_response(landed: DataFrame, keys: list[str]) -> DataFrame:
-    """The newest landed row per key. The rank filter runs before the shuffle too, and the
-    join that follows on the same key needs no further one."""
+    """The newest landed row per key. A later join on the same key needs no further shuffle."""
     window = Window.partitionBy(*keys).orderBy(F.desc("fetched_at"), "error", "body")
     return landed.withColumn("_n", F.row_number().over(window)).where(
         F.col("_n") == 1).drop("_n")
@@ -73,7 +72,9 @@ def newest_response(landed: DataFrame, keys: list[str]) -> DataFrame:
 
 def landed_state(rows: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
     """Join the landed response of each row and name what is wrong with it."""
-    named = landed.withColumnRenamed("symbol", "nse_symbol")
+    # Only the wanted keys go on: bodies of the others are dropped before the ranking.
+    named = landed.withColumnRenamed("symbol", "nse_symbol").join(
+        rows.select(*keys), keys, "left_semi")
     response = newest_response(named, keys).select(
         *keys, "body", "error", F.lit(True).alias("_in"))
     reason = F.when(F.col("_in").isNull(), NOT_LANDED).otherwise(F.col("error"))
@@ -124,7 +125,8 @@ def results_stage(good: DataFrame, results: DataFrame,
     rows = stage(typed_results(checked.where(F.col("reason").isNull())), "periods")
     errors = quality.union_all([
         quality.error_rows(states.where(F.col("kind") == k), "nse_symbol", k,
-                           F.col("reason"), run_ts) for k in RESULT_KINDS])
+                           F.col("reason"), run_ts) for k in RESULT_KINDS]
+        + [unsupported_kinds(good, results, run_ts)])
     # A feed that could not be read is an error, not a missing field.
     absent = quality.missing_feeds(
         good, rows, "nse_symbol", "period_type",
@@ -134,6 +136,17 @@ def results_stage(good: DataFrame, results: DataFrame,
     return rows, absent.join(failed, ["nse_symbol", "field"], "left_anti"), errors
 
 
+def unsupported_kinds(good: DataFrame, results: DataFrame, run_ts) -> DataFrame:
+    """Error rows for landed results of a kind that is not read."""
+    other = results.withColumnRenamed("symbol", "nse_symbol").where(
+        ~F.col("kind").isin(list(RESULT_KINDS))).select("nse_symbol", "kind").distinct()
+    reason = F.concat(F.lit("Unsupported results kind: "), F.col("kind"))
+    rows = quality.error_rows(
+        other.join(good.select("nse_symbol"), "nse_symbol", "left_semi"), "nse_symbol", "",
+        reason, run_ts)
+    return rows.withColumn("stage", F.regexp_extract("message", ": (.*)$", 1))
+
+
 def page_stage(good: DataFrame, pages: DataFrame, stored: DataFrame, run_ts,
                ttl_days: float) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Freshness of every company, fields and holdings of the stale ones' pages, errors."""

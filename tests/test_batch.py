@@ -54,7 +54,8 @@ PRICES = [("TCS", None, price(MKTCAP=100.5, PE="12", SC_FULLNM="TCS Full", isini
 QUARTERS = results(("Mar '26", "10", "1"), ("Dec '25", "9", "1"), ("Sep '25", "8", "1"),
                    ("Jun '25", "7", "--"), ("Mar '26", "11", None))
 RESULTS = [("TCS", "quarterly", None, QUARTERS), ("TCS", "yearly", None, results(("Mar '25", "40", "4"))),
-           ("INFY", "quarterly", None, results()), ("INFY", "yearly", "timeout", None)]
+           ("INFY", "quarterly", None, results()), ("INFY", "yearly", "timeout", None),
+           ("INFY", "monthly", None, "{}"), ("STEEL", "monthly", None, "{}")]
 PAGES = [("TCS", None, PAGE), ("INFY", "HTTP 404", None)]
 
 
@@ -129,7 +130,8 @@ def test_errors_and_counters(ran):
     assert errors == {
         ("GHOST", "resolve"): ("Ghost", "No vendor match for symbol/ISIN"),
         ("COFORGE", "pricefeed"): (None, "HTTP 503"), ("BLANK", "pricefeed"): (None, "Empty price feed"),
-        ("INFY", "yearly"): (None, "timeout"), ("INFY", "profile"): (None, "HTTP 404")}
+        ("INFY", "yearly"): (None, "timeout"),
+        ("INFY", "monthly"): (None, "Unsupported results kind: monthly"), ("INFY", "profile"): (None, "HTTP 404")}
     missing = {r.nse_symbol: r.fields for r in result.missing.collect()}
     assert missing == {
         "INFY": ["quarterly_results", "business_summary", "website", "products_services",
@@ -138,9 +140,9 @@ def test_errors_and_counters(ran):
     run = result.run.first()
     assert (run.indices_fetched, run.constituents_seen, run.it_companies) == (2, 6, 5)
     assert (run.companies_scraped, run.companies_failed) == (2, 3)
-    assert (run.static_refreshed, run.static_cache_hits, run.requests_made) == (2, 0, 15)
-    assert (run.errors_recorded, run.companies_missing_fields, run.failed) == (5, 2, False)
-    assert tables.read("scrape_errors").count() == 5 and tables.read("scrape_runs").count() == 1
+    assert (run.static_refreshed, run.static_cache_hits, run.requests_made) == (2, 0, 16)
+    assert (run.errors_recorded, run.companies_missing_fields, run.failed) == (6, 2, False)
+    assert tables.read("scrape_errors").count() == 6 and tables.read("scrape_runs").count() == 1
 
 
 def test_reports(spark, ran, tmp_path):
@@ -157,7 +159,7 @@ def test_reports(spark, ran, tmp_path):
         ("No order book information found in company profiles", None, None)]
     assert sheets["Products & Services"].first()["NSE Symbol"] == "TCS"
     assert [r["Category"] for r in sheets["Shareholding"].collect()][0] == "Promoter"
-    assert sheets["Errors & Skipped"].count() == 7
+    assert sheets["Errors & Skipped"].count() == 8
     summary = {r.Metric: r.Value for r in sheets["Execution Summary"].collect()}
     assert summary["Run started"] == "2026-07-04 10:00:00"
     assert summary["Duration (seconds)"] == "363.0" and len(summary) == 13
