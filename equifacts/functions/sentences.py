@@ -25,7 +25,7 @@ FACET_LENGTH = 1200
 def sentences(text: Column) -> Column:
     """Split after an end mark that is followed by space and a capital or digit."""
     spaced = F.regexp_replace(text, r"\.{2,}", ". ")
-    return F.split(spaced, rf"(?U)(?<=[.!?]){SPACE}+(?=[A-Z0-9])")
+    return F.split(spaced, rf"(?<=[.!?]){SPACE}+(?=[A-Z0-9])")
 
 
 def shorten(text: Column, length: int = FACET_LENGTH) -> Column:

@@ -10,14 +10,16 @@ from pyspark.sql.types import ArrayType, StringType
 # Texts that mean "no value", besides the empty one.
 PLACEHOLDERS = r"^(-|--|N\.A\.|NA|null|None)$"
 # Currency and unit marks that are not part of a number.
-NUMBER_MARKS = r"(?iuU)[,\s\x1c-\x1f%₹]|Rs\.?|Cr\.?"
+NUMBER_MARKS = r"[,%₹]|(?iu:rs|cr)\.?"
 # Month abbreviations; the position is the month number.
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 # Fixed value: shape of a period label such as "Mar '26" or "December 2025".
 PERIOD_LABEL = r"(?U)^([A-Za-z]{3})\w*\s*'?([0-9]{2,4})$"
 
-# (?U) adds the no-break space and its kin; the four separators are not in it.
-SPACE = r"[\s\x1c-\x1f]"
+# White space as Unicode has it, and the four separators. Spelled out, because the Unicode
+# mode of the regex engine is much slower.
+SPACE = (
+    r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -59,16 +61,16 @@ def unescape_columns(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U){SPACE}+$", "")
+    return F.regexp_replace(c, rf"{SPACE}+$", "")
 
 
 def normalise(c: Column) -> Column:
     """Collapse white space, trim, and turn placeholders into NULL."""
-    text = F.trim(F.regexp_replace(c, rf"(?U){SPACE}+", " "))
+    text = F.trim(F.regexp_replace(c, rf"{SPACE}+", " "))
     return F.nullif(F.regexp_replace(text, PLACEHOLDERS, ""), F.lit(""))
 
 
@@ -82,7 +84,7 @@ def to_number(c: Column) -> Column:
     A placeholder holds none either. The pattern keeps out spellings that only a cast would
     accept (``1d``, ``nan``).
     """
-    digits = F.regexp_replace(c, NUMBER_MARKS, "")
+    digits = F.regexp_replace(c, f"{SPACE}|{NUMBER_MARKS}", "")
     return F.regexp_extract(digits, DECIMAL, 0).try_cast("double")
 
 

@@ -1,8 +1,10 @@
 """Fields and holdings out of landed company pages."""
 
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -16,6 +18,9 @@ from equifacts.functions.text import (
     unescape_each,
 )
 
+# The container walk travels with the query: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Where the summary stands (enclosing id, class), first present wins.
 SUMMARY_RULES = [("id", "company_info", "class", "morepls_cnt"),
                  ("id", "company_info", "class", "com_overviewcnt")]
