@@ -40,21 +40,11 @@ class Tables:
     def create(self) -> None:
         """Create the tables that are missing; existing ones are left alone."""
         for name, layout in self.layouts.items():
-            if name not in self.keys:
-                self._create(self.path(name), layout)
-                continue
-            self._create(self._data_path(name), layout, partitioned=True)
-            self._create(self._manifest_path(name), MANIFEST)
-
-    def _create(self, path, layout, partitioned=False):
-        if self._exists(path):
-            return
-        empty = self.spark.createDataFrame([], layout)
-        if partitioned:
-            empty.withColumns({f.name: F.lit(None).cast(f.dataType) for f in PARTITIONS}).write \
-                .partitionBy(*PARTITIONS.fieldNames()).parquet(path)
-        else:
-            empty.write.parquet(path)
+            bucketed = name in self.keys
+            path = self._manifest_path(name) if bucketed else self.path(name)
+            if not self._exists(path):
+                empty = self.spark.createDataFrame([], MANIFEST if bucketed else layout)
+                empty.write.parquet(path)
 
     def bucket_of(self, name: str):
         return F.pmod(F.xxhash64(self.keys[name][0]), F.lit(self.buckets)).cast("int")
@@ -69,19 +59,24 @@ class Tables:
         layout = self.layouts[name]
         if name not in self.keys:
             return self.spark.read.schema(layout).parquet(self.path(name))
-        versions = self._versions(name)
+        versions = {b: v for b, v in self._versions(name).items() if only is None or b in only}
+        if not versions:
+            return self.spark.createDataFrame([], layout)
         wanted = F.lit(False)
-        for version in sorted(set(versions.values())):
-            buckets = [b for b, v in versions.items()
-                       if v == version and (only is None or b in only)]
-            if buckets:
-                wanted = wanted | (
-                    (F.col("version") == version) & F.col("bucket").isin(buckets))
+        for version in set(versions.values()):
+            buckets = [b for b, v in versions.items() if v == version]
+            wanted = wanted | ((F.col("version") == version) & F.col("bucket").isin(buckets))
         # Version and bucket are folders, so the filter prunes files before the scan.
-        stored = self.spark.read.schema(
-            StructType([*layout.fields, *PARTITIONS.fields])).parquet(self._data_path(name))
+        stored = self._scan(name, layout.fields, sorted(set(versions.values())))
         return stored.where(wanted).drop("version", "bucket")
 
+    def _scan(self, name: str, fields: list[StructField], versions: list[int]) -> DataFrame:
+        """The folders of the given versions; older ones are not even listed."""
+        data = self._data_path(name)
+        reader = self.spark.read.schema(StructType([*fields, *PARTITIONS.fields]))
+        return reader.option("basePath", data).parquet(
+            *[f"{data}/version={version}" for version in versions])
+
     def publish(self, name: str, result: DataFrame, version: int, only: list[int]) -> None:
         """Write the new rows of the touched buckets as ``version``.
 
@@ -104,11 +99,12 @@ class Tables:
         """Change log of a published version, read from what was written."""
         keys = self.keys[name]
         fields = [f for f in self.layouts[name] if f.name in keys]
-        layout = StructType([*fields, StructField(OP, StringType()), StructField(
-            CHANGED, ArrayType(StringType())), *PARTITIONS.fields])
-        stored = self.spark.read.schema(layout).parquet(self._data_path(name))
-        logged = stored.where(
-            (F.col("version") == version) & F.col(OP).isin("insert", "update"))
+        audit = [StructField(OP, StringType()), StructField(CHANGED, ArrayType(StringType()))]
+        if self.has_version(name, version):
+            stored = self._scan(name, [*fields, *audit], [version])
+        else:
+            stored = self.spark.createDataFrame([], StructType([*fields, *audit]))
+        logged = stored.where(F.col(OP).isin("insert", "update"))
         return logged.select(*keys, F.col(OP).alias("op"), F.col(CHANGED).alias("changed"))
 
     def append(self, name: str, rows: DataFrame) -> None:
