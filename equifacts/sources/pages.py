@@ -35,6 +35,7 @@ ADDRESS_PARTS = ["address1", "address2", "city", "state", "pincode"]
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "source", "track", "wbr"}
+CHUNK = 65536
 SILENT = {"script", "style", "template"}
 NUMERIC_KINDS = "^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE|BOOLEAN)"
 
@@ -102,9 +103,15 @@ class _Containers(HTMLParser):
         self._break()
 
     def first(self, html):
-        self.feed(html)
-        self.close()
-        self._break()
+        """Text of the first rule's element that is present. Once the element of rule one
+        is closed, the rest of the page cannot change the answer and is not parsed."""
+        for at in range(0, len(html), CHUNK):
+            self.feed(html[at:at + CHUNK])
+            if self.texts[0] is not None and self.taking[0] is None:
+                break
+        else:
+            self.close()
+            self._break()
         return next((" ".join(t) for t in self.texts if t is not None), None)
 
 

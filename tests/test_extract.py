@@ -62,6 +62,19 @@ def test_summary_container_rules(spark):
     assert got == [None, None, "Full text", None, "first in"]
 
 
+def test_long_pages_are_read_whole(spark):
+    box = '<div id="company_info"><div class="{}">Some &amp; more</div></div>'
+    filler = "<p>x</p>" * 8190
+    lead = "<p>x</p>" * 8180
+    # Text of growing length moves the container across the border between two chunks.
+    htmls = [lead + "y" * n + box.format("morepls_cnt") + filler for n in range(0, 91, 7)]
+    htmls.append(box.format("com_overviewcnt") + filler + box.format("morepls_cnt").replace("Some", "Late"))
+    htmls.append(filler * 3 + box.format("com_overviewcnt"))
+    rows = pages.extract_pages(page_frame(spark, *htmls), ["id"]).orderBy("id").collect()
+    got = [r.business_summary for r in rows]
+    assert got == ["Some & more"] * 13 + ["Late & more", "Some & more"]
+
+
 def test_holdings_in_feed_order(spark):
     rows = pages.extract_holdings(page_frame(spark, PAGE), ["id"]).orderBy("pos").collect()
     assert [(r.category, r.percent, r.pos) for r in rows] == [
