@@ -10,9 +10,10 @@ from equifacts.session import stage
 from equifacts.sources.pages import extract_container, extract_holdings, extract_pages, flat_text
 
 SPACES = r"[\s\x0b\x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-PLAIN_SQL = r"""nullif(trim(regexp_replace(replace(replace(replace(replace(replace(
-  regexp_replace({inner}, '<[^>]*>', ' ', 'g'),
-  '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&amp;', '&'),
+# Some entities lack their semicolon.
+PLAIN_SQL = r"""nullif(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+  regexp_replace(regexp_replace({inner}, '<[^>]*>', ' ', 'g'),
+  '&quot;?', '"', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&amp;?', '&', 'g'),
   '\s+', ' ', 'g')), '')"""
 
 
