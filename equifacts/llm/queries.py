@@ -1,6 +1,7 @@
 """Each operator, with its production parameters, on its whole table."""
 
-from equifacts.llm import jaccard_join, mixing, packing, pii, quality_rules
+from equifacts.llm import (
+    fingerprints, jaccard_join, language_id, licenses, mixing, packing, pii, quality_rules, toxicity)
 from equifacts.llm.common import read
 
 SQL: dict[str, str] = {}
@@ -14,6 +15,14 @@ def op2_pii(spark, folder):
     return pii.report(read(spark, folder, "documents"))
 
 
+def op3_toxicity(spark, folder):
+    return toxicity.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+def op5_language_id(spark, folder):
+    return language_id.report(read(spark, folder, "documents"))
+
+
 def op6_mixing(spark, folder):
     return mixing.report(read(spark, folder, "documents"))
 
@@ -26,5 +35,14 @@ def op8_jaccard_join(spark, folder):
     return jaccard_join.join_report(read(spark, folder, "documents"))
 
 
+def op9_fingerprints(spark, folder):
+    return fingerprints.report(read(spark, folder, "documents"))
+
+
+def op10_license_scan(spark, folder):
+    return licenses.report(read(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_pii, op6_mixing, op7_quality_rules, op8_jaccard_join)}
+    op1_best_fit_packing, op2_pii, op3_toxicity, op5_language_id, op6_mixing, op7_quality_rules,
+    op8_jaccard_join, op9_fingerprints, op10_license_scan)}
