@@ -24,7 +24,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = [
     "latest_n_periods", "latest_period_join", "period_key", "merge_by_key", "membership_list",
     "sector_universe", "resolve_identity", "request_list", "clean_names", "parse_numbers",
-    "feed_to_market", "feed_to_periods", "page_fields", "page_profile", "page_holdings", "facets",
+    "feed_to_prices", "feed_to_periods", "page_fields", "page_profile", "page_holdings", "facets",
     "profile_coalesce", "upsert_rows", "upsert_periods", "fold_duplicates", "replace_keep",
     "replace_clear", "touch_stub", "stale_set", "resume_set", "error_split", "missing_report",
     "integrity_report", "run_summary", "company_list", "financial_data", "quarterly_report",

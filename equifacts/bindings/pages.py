@@ -112,10 +112,7 @@ def _topic_sql(words: str) -> str:
     joined = (
         rf"array_to_string(list_transform({hits}, lambda s: "
         rf"regexp_replace(s, '^{SPACES}+|{SPACES}+$', '', 'g')), ' ')")
-    return rf"""CASE WHEN len({hits}) = 0 THEN NULL
-      WHEN length({joined}) > 1200
-      THEN regexp_replace(left({joined}, 1197), '{SPACES}+$', '') || '...'
-      ELSE {joined} END"""
+    return f"CASE WHEN len({hits}) > 0 THEN {joined} END"
 
 
 PARTS_SQL = rf"""

@@ -23,7 +23,7 @@ from equifacts.operators.upsert import upsert
 from equifacts.plans import reports
 from equifacts.plans.company_batch import Landed, run_batch, run_reports
 from equifacts.plans.universe import merged_constituents
-from equifacts.schemas import MARKET_FIELDS, PERIOD_FIELDS, PROFILE_FIELDS
+from equifacts.schemas import PRICE_FIELDS, PERIOD_FIELDS, PROFILE_FIELDS
 from equifacts.session import scratch_path
 from equifacts.sources.registry import index_registry
 from equifacts.sources.tables import Tables, write_csv
@@ -51,11 +51,11 @@ def companies(d: Data) -> DataFrame:
     return padded(rows, PROFILE_FIELDS, "string")
 
 
-def market(d: Data) -> DataFrame:
-    """Extremes of a customer's orders as its market columns."""
+def prices(d: Data) -> DataFrame:
+    """Extremes of a customer's orders as its price columns."""
     rows = d.orders.where("o_orderstatus <> 'P'").groupBy(F.col("o_custkey").alias("nse_symbol")).agg(
-        F.max("o_totalprice").alias("market_cap_cr"), F.min("o_totalprice").alias("price"))
-    return padded(rows, MARKET_FIELDS, "double")
+        F.max("o_totalprice").alias("capitalisation_cr"), F.min("o_totalprice").alias("price"))
+    return padded(rows, PRICE_FIELDS, "double")
 
 
 def scope(d: Data) -> DataFrame:
@@ -65,7 +65,7 @@ def scope(d: Data) -> DataFrame:
 
 
 def view(d: Data) -> DataFrame:
-    return reports.companies_with_market(companies(d), market(d), scope(d))
+    return reports.companies_with_prices(companies(d), prices(d), scope(d))
 
 
 def typed_periods(d: Data) -> DataFrame:
@@ -82,7 +82,7 @@ def memberships(d: Data) -> DataFrame:
 
 VIEW_SQL = """
 scope AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'),
-market AS (
+prices AS (
   SELECT o_custkey AS k, max(o_totalprice) AS cap, min(o_totalprice) AS price
   FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
 firms AS (
@@ -109,8 +109,8 @@ months AS (
 @query(f"""WITH {VIEW_SQL}, {NAMES_SQL}
 SELECT name AS "Company Name", k AS "NSE Symbol", NULL::VARCHAR AS "BSE Symbol",
   NULL::VARCHAR AS "ISIN", c_mktsegment AS "Sector", industry AS "Industry",
-  cap AS "Market Cap (Rs Cr)", coalesce(names, '') AS "NSE Indices", 'http://x/' || k AS "Vendor URL"
-FROM firms LEFT JOIN market USING (k) LEFT JOIN listed USING (k)""")
+  cap AS "Capitalisation (Rs Cr)", coalesce(names, '') AS "NSE Indices", 'http://x/' || k AS "Vendor URL"
+FROM firms LEFT JOIN prices USING (k) LEFT JOIN listed USING (k)""")
 def company_list(d: Data) -> DataFrame:
     in_run = reports.in_scope(memberships(d), scope(d), "nse_symbol")
     return reports.company_list(view(d), in_run)
@@ -129,14 +129,14 @@ def company_profile(d: Data) -> DataFrame:
 
 
 @query(f"""WITH {VIEW_SQL}, {MONTHS_SQL}
-SELECT name AS "Company Name", k AS "NSE Symbol", cap AS "Market Cap (Rs Cr)", price AS "Price",
+SELECT name AS "Company Name", k AS "NSE Symbol", cap AS "Capitalisation (Rs Cr)", price AS "Price",
   label AS "Latest FY", revenue AS "FY Revenue (Rs Cr)", -revenue AS "FY Net Profit (Rs Cr)"
-FROM firms LEFT JOIN market USING (k)
+FROM firms LEFT JOIN prices USING (k)
 LEFT JOIN (SELECT * FROM months WHERE n = 1) USING (k)""")
 def financial_data(d: Data) -> DataFrame:
     annual = reports.in_scope(typed_periods(d).where("period_type = 'Y'"), scope(d), "nse_symbol")
     return reports.financial_data(view(d), annual).select(
-        "Company Name", "NSE Symbol", "`Market Cap (Rs Cr)`", "Price", "Latest FY",
+        "Company Name", "NSE Symbol", "`Capitalisation (Rs Cr)`", "Price", "Latest FY",
         "`FY Revenue (Rs Cr)`", "`FY Net Profit (Rs Cr)`")
 
 
@@ -287,7 +287,7 @@ good AS (
 SELECT c_name AS "Company Name", CAST(c_custkey AS VARCHAR) AS "NSE Symbol",
   CASE WHEN c_nationkey <> 2 THEN CAST(c_custkey AS VARCHAR) END AS "BSE Symbol",
   c_mktsegment AS "Sector", CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS "Industry",
-  c_acctbal AS "Market Cap (Rs Cr)", names AS "NSE Indices", 'http://x/' || c_custkey AS "Vendor URL"
+  c_acctbal AS "Capitalisation (Rs Cr)", names AS "NSE Indices", 'http://x/' || c_custkey AS "Vendor URL"
 FROM good""")
 def full_run(d: Data) -> DataFrame:
     """A whole run from landed payloads to the company list."""

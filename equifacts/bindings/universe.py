@@ -113,7 +113,9 @@ WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_mktsegment <> 'MACHINERY'
    OR c_mktsegment = 'MACHINERY' AND c_acctbal >= 0""")
 def requested_companies(d: Data) -> DataFrame:
     """Companies of the requested segments, then those of the vendor sector."""
-    wanted = only_symbols(d.customer, "c_mktsegment", requested_symbols(" building, machinery,"))
+    request = d.spark.createDataFrame([(" building, machinery,",)], "asked string")
+    wanted = only_symbols(
+        d.customer, "c_mktsegment", requested_symbols(request, "asked", "c_mktsegment"))
     spelled = wanted.withColumn(
         "sector", F.when((F.col("c_mktsegment") == "BUILDING") | (F.col("c_acctbal") >= 0),
                          F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" "))))

@@ -98,8 +98,8 @@ def upsert_changes(d: Data) -> DataFrame:
 SELECT op, CASE WHEN op = 'insert' THEN 'balance,company_name,sector' ELSE {CHANGED_SQL} END
   AS changed, count(*) AS n
 FROM result WHERE op IN ('insert', 'update') GROUP BY ALL""")
-def upsert_market(d: Data) -> DataFrame:
-    """The market form of the upsert: a new row reports every column."""
+def upsert_prices(d: Data) -> DataFrame:
+    """The price form of the upsert: a new row reports every column."""
     log = change_log(upserted(d, insert_reports="all"), ["nse_symbol"])
     return log.groupBy("op", F.array_join("changed", ",").alias("changed")).agg(
         F.count("*").alias("n"))

@@ -18,8 +18,6 @@ TOPICS = {
     "major_clients": CLIENT_WORDS,
     "order_book": ORDER_BOOK_WORDS,
 }
-# Fixed value: longest facet text.
-FACET_LENGTH = 1200
 
 
 def sentences(text: Column) -> Column:
@@ -28,7 +26,8 @@ def sentences(text: Column) -> Column:
     return F.split(spaced, rf"(?<=[.!?]){SPACE}+(?=[A-Z0-9])")
 
 
-def shorten(text: Column, length: int = FACET_LENGTH) -> Column:
+def shorten(text: Column, length: int) -> Column:
+    """The text, cut to a length that the caller of a report asks for."""
     cut = F.concat(rstrip(F.left(text, F.lit(length - 3))), F.lit("..."))
     return F.when(F.length(text) > length, cut).otherwise(text)
 
@@ -40,18 +39,11 @@ def topic_sentences(parts: Column, words: str) -> Column:
     return F.nullif(F.array_join(F.transform(hits, strip), " "), F.lit(""))
 
 
-def topic_text(parts: Column, words: str, length: int = FACET_LENGTH) -> Column:
-    return shorten(topic_sentences(parts, words), length)
+def with_topics(df: DataFrame, text: str, topics: dict[str, str] = TOPICS) -> DataFrame:
+    """Add one facet column per topic, with the whole text of its sentences.
 
-
-def with_topics(df: DataFrame, text: str, topics: dict[str, str] = TOPICS,
-                length: int = FACET_LENGTH) -> DataFrame:
-    """Add one facet column per topic.
-
-    The split and each topic's text are columns of their own, so that they are computed
-    once per row although several expressions use them.
+    The split is a column of its own, so that it is computed once per row.
     """
     split = df.withColumn("_parts", sentences(F.col(text)))
-    joined = split.withColumns({
-        n: topic_sentences(F.col("_parts"), w) for n, w in topics.items()})
-    return joined.drop("_parts").withColumns({n: shorten(F.col(n), length) for n in topics})
+    return split.withColumns({
+        n: topic_sentences(F.col("_parts"), w) for n, w in topics.items()}).drop("_parts")

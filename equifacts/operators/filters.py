@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from equifacts.functions.text import in_list
 
 
-def requested_symbols(text: str | None) -> list[str]:
-    """Symbols of a comma-separated request, trimmed and in capitals."""
-    return [s.strip().upper() for s in (text or "").split(",") if s.strip()]
+def requested_symbols(requests: DataFrame, text: str, key: str) -> DataFrame:
+    """One row per symbol of the comma-separated requests, trimmed and in capitals."""
+    symbol = F.explode(F.split(F.upper(F.col(text)), ",")).alias(key)
+    return requests.select(symbol).select(F.trim(key).alias(key)).where(
+        F.col(key) != "").distinct()
 
 
 def in_sector(df: DataFrame, industry: str, industries: list[str], members: str,
@@ -26,9 +28,14 @@ def in_vendor_sector(df: DataFrame, sector: str, sectors: list[str]) -> DataFram
     return df.where(in_list(F.col(sector), sectors))
 
 
-def only_symbols(df: DataFrame, key: str, symbols: list[str]) -> DataFrame:
-    """Rows of the requested symbols; an empty request means all."""
-    return df.where(F.col(key).isin(symbols)) if symbols else df
+def only_symbols(df: DataFrame, key: str, symbols: list[str] | DataFrame | None) -> DataFrame:
+    """Rows of the requested symbols, given as a list in any case or as a table of them.
+
+    An empty list means all rows; a table is joined, however long it is.
+    """
+    if isinstance(symbols, DataFrame):
+        return df.join(symbols.select(key), key, "left_semi")
+    return df.where(F.col(key).isin([s.upper() for s in symbols])) if symbols else df
 
 
 def in_scope(df: DataFrame, scope: DataFrame, key: str) -> DataFrame:

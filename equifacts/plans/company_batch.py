@@ -27,7 +27,7 @@ from equifacts.operators.resolve import pick_identity
 from equifacts.operators.upsert import upsert
 from equifacts.plans import reports, runs
 from equifacts.plans.universe import INDUSTRIES, discover
-from equifacts.schemas import MARKET_FIELDS, PERIOD_FIELDS, PROFILE_FIELDS, REPORTED_FIELDS
+from equifacts.schemas import PRICE_FIELDS, PERIOD_FIELDS, PROFILE_FIELDS, REPORTED_FIELDS
 from equifacts.session import stage
 from equifacts.sources.feeds import RESULT_KINDS, price_rows, suggest_entries, typed_results
 from equifacts.sources.pages import extract_pages, holding_rows, holdings_json
@@ -240,7 +240,7 @@ def publish_batch(tables: Tables, batch, good, periods, holdings, memberships,
     on_change = {"updated_at": "on_change"}
     plans = [
         merge("companies", batch, PROFILE_FIELDS, stamps=COMPANY_STAMPS),
-        merge("market_data", good.select("nse_symbol", *MARKET_FIELDS), MARKET_FIELDS,
+        merge("price_snapshot", good.select("nse_symbol", *PRICE_FIELDS), PRICE_FIELDS,
               insert_reports="all", stamps=on_change),
         merge("period_results", periods, PERIOD_FIELDS, order=["pos"], stamps=on_change),
         replace("company_indices", memberships, good),
@@ -282,6 +282,6 @@ def requests_landed(landed: Landed, todo: DataFrame, resolved: DataFrame,
 
 def run_reports(tables: Tables, result: RunResult) -> dict[str, DataFrame]:
     return reports.report_bundle(
-        tables.read("companies"), tables.read("market_data"), tables.read("company_indices"),
+        tables.read("companies"), tables.read("price_snapshot"), tables.read("company_indices"),
         tables.read("period_results"), tables.read("shareholding"), result.scope,
         result.errors, result.missing, runs.execution_summary(result.run))

@@ -8,13 +8,13 @@ from equifacts.operators.filters import in_scope
 from equifacts.operators.latest import latest_period, latest_periods, order_periods, with_period
 from equifacts.operators.merge import member_names
 from equifacts.operators.quality import errors_and_missing
-from equifacts.schemas import MARKET_FIELDS, PERIOD_FIELDS
+from equifacts.schemas import PRICE_FIELDS, PERIOD_FIELDS
 
 # Printed headers and the column behind each.
 COMPANY_LIST = {
     "Company Name": "company_name", "NSE Symbol": "nse_symbol", "BSE Symbol": "bse_symbol",
     "ISIN": "isin", "Sector": "sector", "Industry": "industry",
-    "Market Cap (Rs Cr)": "market_cap_cr", "NSE Indices": "indices", "Vendor URL": "mc_url",
+    "Capitalisation (Rs Cr)": "capitalisation_cr", "NSE Indices": "indices", "Vendor URL": "mc_url",
 }
 COMPANY_PROFILE = {
     "Company Name": "company_name", "NSE Symbol": "nse_symbol", "Sector": "sector",
@@ -25,7 +25,7 @@ COMPANY_PROFILE = {
 }
 FINANCIAL_DATA = {
     "Company Name": "company_name", "NSE Symbol": "nse_symbol",
-    "Market Cap (Rs Cr)": "market_cap_cr", "Price": "price", "P/E": "pe", "P/B": "pb",
+    "Capitalisation (Rs Cr)": "capitalisation_cr", "Price": "price", "P/E": "pe", "P/B": "pb",
     "Industry P/E": "industry_pe", "Dividend Yield %": "dividend_yield",
     "Book Value": "book_value", "EPS (TTM)": "eps_ttm", "Face Value": "face_value",
     "52W High": "week52_high", "52W Low": "week52_low", "Latest FY": "period_label",
@@ -61,11 +61,11 @@ def printed(df: DataFrame, headers: dict[str, str]) -> DataFrame:
         (stamp_text(F.col(c)) if c in stamps else F.col(c)).alias(h) for h, c in headers.items()])
 
 
-def companies_with_market(companies: DataFrame, market: DataFrame, scope: DataFrame,
-                          fields: list[str] = MARKET_FIELDS) -> DataFrame:
-    """Every company of the scope with its market columns, when it has any."""
+def companies_with_prices(companies: DataFrame, prices: DataFrame, scope: DataFrame,
+                          fields: list[str] = PRICE_FIELDS) -> DataFrame:
+    """Every company of the scope with its price columns, when it has any."""
     return in_scope(companies, scope, "nse_symbol").join(
-        market.select("nse_symbol", *fields), "nse_symbol", "left")
+        prices.select("nse_symbol", *fields), "nse_symbol", "left")
 
 
 def with_indices(companies: DataFrame, memberships: DataFrame, key: str = "nse_symbol",
@@ -89,7 +89,7 @@ def company_profile(view: DataFrame) -> DataFrame:
 
 
 def financial_data(view: DataFrame, annual: DataFrame) -> DataFrame:
-    """Market columns with the newest annual row."""
+    """Price columns with the newest annual row."""
     newest = latest_period(annual, "nse_symbol", ["revenue", "net_profit"])
     return printed(by_name(view.join(newest, "nse_symbol", "left")), FINANCIAL_DATA)
 
@@ -147,12 +147,12 @@ def error_report(errors: DataFrame, missing: DataFrame) -> DataFrame:
     return printed(rows, ERRORS)
 
 
-def report_bundle(companies: DataFrame, market: DataFrame, memberships: DataFrame,
+def report_bundle(companies: DataFrame, prices: DataFrame, memberships: DataFrame,
                   periods: DataFrame, holdings: DataFrame, scope: DataFrame,
                   errors: DataFrame, missing: DataFrame, summary: DataFrame,
                   ) -> dict[str, DataFrame]:
     """The ten tables of a run by sheet name."""
-    view = companies_with_market(companies, market, scope)
+    view = companies_with_prices(companies, prices, scope)
     in_run = in_scope(memberships, scope, "nse_symbol")
     annual = in_scope(periods.where(F.col("period_type") == "Y"), scope, "nse_symbol")
     sheets = {
@@ -169,12 +169,12 @@ def report_bundle(companies: DataFrame, market: DataFrame, memberships: DataFram
     return sheets
 
 
-def csv_tables(companies: DataFrame, market: DataFrame, periods: DataFrame,
+def csv_tables(companies: DataFrame, prices: DataFrame, periods: DataFrame,
                holdings: DataFrame, scope: DataFrame) -> dict[str, DataFrame]:
     """The four tables of the plain CSV export."""
     keys = ["nse_symbol", "company_name", "period_label", *PERIOD_FIELDS, "updated_at"]
     return {
-        "companies": by_name(companies_with_market(companies, market, scope)).drop(
+        "companies": by_name(companies_with_prices(companies, prices, scope)).drop(
             "created_at", "updated_at"),
         "quarterly_results": quarterly_rows(periods, companies, scope).select(*keys),
         "annual_results": annual_rows(periods, companies, scope).select(*keys),

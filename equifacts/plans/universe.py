@@ -26,7 +26,7 @@ def discover(constituents: DataFrame, whole_sector: list[str],
     merged = merged_constituents(constituents)
     kept = only_symbols(
         in_sector(merged, "nse_industry", industries, "index_keys", whole_sector),
-        "nse_symbol", symbols or [])
+        "nse_symbol", symbols)
     return kept if limit is None else first_by(kept, "nse_symbol", limit)
 
 

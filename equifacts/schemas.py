@@ -17,8 +17,8 @@ PROFILE_FIELDS = [
     "business_summary", "products_services", "major_clients", "order_book", "website",
     "email", "address", "phone", "registrar", "management", "listed_indices",
 ]
-MARKET_FIELDS = [
-    "market_cap_cr", "price", "pe", "pb", "industry_pe", "dividend_yield", "book_value",
+PRICE_FIELDS = [
+    "capitalisation_cr", "price", "pe", "pb", "industry_pe", "dividend_yield", "book_value",
     "eps_ttm", "face_value", "week52_high", "week52_low", "shares_outstanding",
 ]
 PERIOD_FIELDS = [
@@ -43,7 +43,7 @@ TABLES = {
         ["nse_symbol", *PROFILE_FIELDS],
         stamps=["static_updated_at", "dynamic_updated_at", "created_at", "updated_at"]),
     "company_indices": _struct(["nse_symbol", "index_key", "index_name"], stamps=["updated_at"]),
-    "market_data": _struct(["nse_symbol"], MARKET_FIELDS, stamps=["updated_at"]),
+    "price_snapshot": _struct(["nse_symbol"], PRICE_FIELDS, stamps=["updated_at"]),
     "period_results": _struct(
         ["nse_symbol", "period_type", "period_label"], PERIOD_FIELDS, stamps=["updated_at"]),
     "shareholding": _struct(
@@ -62,7 +62,7 @@ TABLES = {
 KEYS = {
     "companies": ["nse_symbol"],
     "company_indices": ["nse_symbol", "index_key"],
-    "market_data": ["nse_symbol"],
+    "price_snapshot": ["nse_symbol"],
     "period_results": ["nse_symbol", "period_type", "period_label"],
     "shareholding": ["nse_symbol", "category"],
 }

@@ -1,8 +1,6 @@
 """Session settings the operators rely on, and the shared scratch folder."""
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,19 +28,10 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Where it is not set, the warehouse serves, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_root()
-
-
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="equifacts-")
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

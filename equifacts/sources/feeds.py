@@ -7,9 +7,9 @@ from equifacts.functions import payload
 from equifacts.functions.text import normalise, to_number, unescape_columns
 from equifacts.schemas import PERIOD_FIELDS
 
-# Price-feed keys of the market columns.
-MARKET_KEYS = {
-    "market_cap_cr": "MKTCAP", "price": "pricecurrent", "pe": "PE", "pb": "PB",
+# Price-feed keys of the price columns.
+PRICE_KEYS = {
+    "capitalisation_cr": "MKTCAP", "price": "pricecurrent", "pe": "PE", "pb": "PB",
     "industry_pe": "IND_PE", "dividend_yield": "DY", "book_value": "BV", "eps_ttm": "SC_TTM",
     "face_value": "FV", "week52_high": "52H", "week52_low": "52L", "shares_outstanding": "SHRS",
 }
@@ -36,9 +36,9 @@ MEASURE_KEYS = {
 }
 # Measures of which a period row needs at least one.
 DECISIVE = ["revenue", "net_profit", "total_income", "basic_eps"]
-# Kinds of results feed and their period type; rows kept of one feed.
+# Kinds of results feed and their period type; rows asked for in a request.
 RESULT_KINDS = {"quarterly": "Q", "yearly": "Y"}
-FEED_ROWS = 8
+REQUESTED_ROWS = 8
 
 
 def _texts(df: DataFrame, v: str, keys: list[str], carry: list) -> DataFrame:
@@ -79,7 +79,7 @@ def suggest_entries(landed: DataFrame, keys: list[str], body: str = "body") -> D
 
 
 def price_rows(landed: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
-    """Market columns and attributes of each price feed.
+    """Price columns and attributes of each price feed.
 
     ``feed_state`` tells a filled ``data`` object ("ok") from an empty or absent one
     ("empty") and from a body that is no JSON object ("invalid").
@@ -92,25 +92,25 @@ def price_rows(landed: DataFrame, keys: list[str], body: str = "body") -> DataFr
         .when(payload.kind(F.col("_data")) == "OBJECT<>", "empty")
         .otherwise("ok"))
     truths = {k: payload.truth(F.col("_data"), payload.key_path(k)).alias(f"_truth_{n}")
-              for n, k in MARKET_KEYS.items()}
-    names = [*MARKET_KEYS.values(), *(k for ks in ATTRIBUTE_KEYS.values() for k in ks)]
+              for n, k in PRICE_KEYS.items()}
+    names = [*PRICE_KEYS.values(), *(k for ks in ATTRIBUTE_KEYS.values() for k in ks)]
     texts = _texts(
         data, "_data", names, [*keys, state.alias("feed_state"), *truths.values()])
     return texts.select(
         *keys, "feed_state",
         *[F.coalesce(F.col(f"_truth_{n}"), _first(names, [k], to_number)).alias(n)
-          for n, k in MARKET_KEYS.items()],
+          for n, k in PRICE_KEYS.items()],
         *[_first(names, ks, normalise).alias(n) for n, ks in ATTRIBUTE_KEYS.items()])
 
 
 def result_rows(landed: DataFrame, keys: list[str], body: str = "body",
-                limit: int = FEED_ROWS, label_key: str = LABEL_KEY,
+                label_key: str = LABEL_KEY,
                 measures: dict[str, list[str]] = MEASURE_KEYS) -> DataFrame:
-    """Period rows of each results feed: the first ``limit`` entries, newest first in the
-    feed, that carry a label and a decisive measure."""
+    """Period rows of each results feed: all entries that carry a label and a decisive
+    measure, with their place in the feed."""
     listed = payload.items(payload.parse(F.col(body)), "$.data")
     entries = landed.select(
-        *keys, F.posexplode(F.slice(listed, 1, limit)).alias("pos", "_entry")
+        *keys, F.posexplode(listed).alias("pos", "_entry")
     ).where(payload.is_object(F.col("_entry")))
     names = list(dict.fromkeys([label_key, *(k for ks in measures.values() for k in ks)]))
     texts = _texts(entries, "_entry", names, [*keys, "pos"])

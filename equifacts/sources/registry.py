@@ -20,9 +20,12 @@ REGISTRY = (
 def index_registry(spark: SparkSession, selected: list[str] | None = None,
                    indices=INDICES) -> DataFrame:
     """Registry rows for a run in the requested order; an unknown key raises KeyError."""
-    by_key = {row[0]: row for row in indices}
-    unknown = [key for key in selected or [] if key not in by_key]
-    if unknown:
-        raise KeyError(f"unknown index keys {unknown}, known are {sorted(by_key)}")
-    rows = [by_key[key] for key in selected] if selected else indices
-    return spark.createDataFrame([(*row, rank) for rank, row in enumerate(rows)], REGISTRY)
+    known = spark.createDataFrame([(*row, rank) for rank, row in enumerate(indices)], REGISTRY)
+    if not selected:
+        return known
+    asked = spark.createDataFrame(
+        list(zip(selected, range(len(selected)))), "index_key string, index_rank int")
+    strange = asked.join(known, "index_key", "left_anti").select("index_key").collect()
+    if strange:
+        raise KeyError("no such index: " + ", ".join(r.index_key for r in strange))
+    return known.drop("index_rank").join(asked, "index_key").select(known.columns)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equifacts.functions.text import url_part
-from equifacts.sources.feeds import FEED_ROWS, RESULT_KINDS
+from equifacts.sources.feeds import REQUESTED_ROWS, RESULT_KINDS
 
 # Paths of the feeds; the caller names the hosts.
 SUGGEST_PATH = "/mccode/common/autosuggestion_solr.php?classic=true&query=%s&type=1&format=json"
@@ -16,7 +16,7 @@ def templates(suggest_host: str, price_host: str, results_host: str) -> dict[str
     """Address template of each stage that asks by id."""
     stages = {"resolve": suggest_host + SUGGEST_PATH, "pricefeed": price_host + PRICE_PATH}
     for kind in RESULT_KINDS:
-        stages[kind] = results_host + RESULTS_PATH.format(kind=kind, limit=FEED_ROWS)
+        stages[kind] = results_host + RESULTS_PATH.format(kind=kind, limit=REQUESTED_ROWS)
     return stages
 
 

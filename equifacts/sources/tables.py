@@ -24,7 +24,7 @@ from equifacts.operators.upsert import CHANGED, OP
 from equifacts.schemas import KEYS, TABLES
 
 PARTITIONS = StructType([StructField("version", LongType()), StructField("bucket", IntegerType())])
-MANIFEST = "bucket int, version long"
+MANIFEST = "bucket int, version long, writer string, epoch long"
 AUDIT = [OP, CHANGED]
 
 
@@ -77,9 +77,12 @@ class Tables:
         return reader.option("basePath", data).parquet(
             *[f"{data}/version={version}" for version in versions])
 
-    def publish(self, name: str, result: DataFrame, version: int, only: list[int]) -> None:
+    def publish(self, name: str, result: DataFrame, version: int, only: list[int],
+                writer: str | None = None, epoch: int | None = None) -> None:
         """Write the new rows of the touched buckets as ``version``.
 
+        A stream names itself and its epoch, so that it can tell a replayed micro-batch.
+
         ``result`` may carry the operation and changed columns of an upsert; they are
         stored beside the data so that ``changes`` need not compute the join again.
         A version that the manifest already lists is not written twice.
@@ -92,7 +95,7 @@ class Tables:
         # The rebalance hint splits a hot bucket over tasks and joins small ones.
         rows.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy(
             "bucket").parquet(f"{self._data_path(name)}/version={version}")
-        listed = self.spark.createDataFrame([(b, version) for b in only], MANIFEST)
+        listed = self.spark.createDataFrame([(b, version, writer, epoch) for b in only], MANIFEST)
         listed.coalesce(1).write.mode("append").parquet(self._manifest_path(name))
 
     def changes(self, name: str, version: int) -> DataFrame:
@@ -114,6 +117,11 @@ class Tables:
         manifest = self.spark.read.schema(MANIFEST).parquet(self._manifest_path(name))
         return not manifest.where(F.col("version") == version).isEmpty()
 
+    def has_epoch(self, name: str, writer: str, epoch: int) -> bool:
+        manifest = self.spark.read.schema(MANIFEST).parquet(self._manifest_path(name))
+        mine = (F.col("writer") == writer) & (F.col("epoch") == epoch)
+        return not manifest.where(mine).isEmpty()
+
     def next_version(self, name: str) -> int:
         return max(self._versions(name).values(), default=0) + 1
 

@@ -18,23 +18,26 @@ def upsert_landed(stream: DataFrame, tables: Tables, name: str, values: list[str
                   order: list[str], checkpoint: str, prepare=None):
     """Upsert every landed file once and stop when all are taken in.
 
-    The epoch is the table version, so a micro-batch that is replayed after a failure
-    finds its version published and is skipped.
+    Each micro-batch becomes the table's next version, listed with the stream's id and the
+    epoch. The id lives in the checkpoint: a micro-batch replayed after a failure finds
+    itself listed and is skipped, while a new checkpoint or another stream is a new writer.
     """
     keys = tables.keys[name]
 
     def take(batch: DataFrame, epoch: int) -> None:
-        version = epoch + 1
-        if tables.has_version(name, version):
+        context = batch.sparkSession.sparkContext
+        writer = context.getLocalProperty("sql.streaming.queryId")
+        if tables.has_epoch(name, writer, epoch):
             return
         rows = (prepare(batch) if prepare else batch).persist()
-        touched = tables.touched(name, rows)
-        run_ts = F.current_timestamp()
-        result = upsert(
-            tables.read(name, touched), rows, keys, values, run_ts, order=order,
-            stamps={"updated_at": "on_change"})
-        tables.publish(name, result, version, touched)
-        rows.unpersist()
+        try:
+            touched = tables.touched(name, rows)
+            result = upsert(
+                tables.read(name, touched), rows, keys, values, F.current_timestamp(),
+                order=order, stamps={"updated_at": "on_change"})
+            tables.publish(name, result, tables.next_version(name), touched, writer, epoch)
+        finally:
+            rows.unpersist()
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)

@@ -48,7 +48,7 @@ def price(**data):
 SUGGEST = [("TCS", None, suggest("TCS", "INE1")), ("INFY", None, suggest("INFY", "INE2")),
            ("COFORGE", None, suggest("COFORGE", "INE4")), ("GHOST", None, "[]"),
            ("BLANK", None, suggest("BLANK", "INE7"))]
-PRICES = [("TCS", None, price(MKTCAP=100.5, PE="12", SC_FULLNM="TCS Full", isinid="INE000A01001")),
+PRICES = [("TCS", None, price(MKTCAP=100.5, PE="12", SC_FULLNM="TCS Full", isinid="INE777Z01029")),
           ("INFY", None, price(MKTCAP="50", BSEID="500209", main_sector="IT")),
           ("COFORGE", "HTTP 503", None), ("BLANK", None, price())]
 QUARTERS = results(("Mar '26", "10", "1"), ("Dec '25", "9", "1"), ("Sep '25", "8", "1"),
@@ -100,9 +100,9 @@ def test_companies(ran):
     assert set(rows) == {"TCS", "INFY"}
     tcs, infy = rows["TCS"], rows["INFY"]
     assert (tcs.company_name, infy.company_name) == ("TCS Full", "INFY Ltd")
-    assert (tcs.isin, tcs.bse_symbol) == ("INE000A01001", "500123")
+    assert (tcs.isin, tcs.bse_symbol) == ("INE777Z01029", "531987")
     assert (infy.isin, infy.bse_symbol, infy.sector) == ("INE2", "500209", "IT")
-    assert tcs.products_services.startswith("Acme Infotech is an IT solution")
+    assert tcs.products_services.startswith("Zelkova Systems runs a billing")
     assert tcs.static_updated_at is not None and infy.static_updated_at is None
     assert infy.dynamic_updated_at == tcs.updated_at == tcs.created_at
     assert tcs.industry == "Information Technology" and tcs.listed_indices is None
@@ -116,8 +116,8 @@ def test_satellites(ran):
     periods = {(r.period_type, r.period_label): r for r in tables.read("period_results").collect()}
     assert len(periods) == 5 and periods["Q", "Mar '26"].revenue == 11.0
     assert periods["Q", "Mar '26"].basic_eps == 1.0
-    market = {r.nse_symbol: r.market_cap_cr for r in tables.read("market_data").collect()}
-    assert market == {"TCS": 100.5, "INFY": 50.0}
+    prices = {r.nse_symbol: r.capitalisation_cr for r in tables.read("price_snapshot").collect()}
+    assert prices == {"TCS": 100.5, "INFY": 50.0}
     holdings = tables.read("shareholding").orderBy("pos").collect()
     assert [r.category for r in holdings] == ["Promoter", "FII", "Flag", "Others"]
     index = sorted((r.nse_symbol, r.index_name) for r in tables.read("company_indices").collect())
@@ -169,7 +169,7 @@ def test_reports(spark, ran, tmp_path):
     write_reports(sheets, str(tmp_path / "out"), "r1", "csv")
     assert (tmp_path / "out" / "report=order_book" / "run_id=r1").is_dir()
     csv = reports.csv_tables(
-        tables.read("companies"), tables.read("market_data"), tables.read("period_results"),
+        tables.read("companies"), tables.read("price_snapshot"), tables.read("period_results"),
         tables.read("shareholding").limit(0), result.scope)
     assert write_csv(csv, str(tmp_path / "csv")) == ["companies", "quarterly_results", "annual_results"]
     back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "csv/companies"))
@@ -179,16 +179,16 @@ def test_reports(spark, ran, tmp_path):
 def test_second_run_changes_nothing(spark, landed, ran):
     tables, first = ran
     before = {n: sorted(map(str, tables.read(n).drop("updated_at", "dynamic_updated_at").collect()))
-              for n in ("companies", "market_data", "period_results", "shareholding", "company_indices")}
+              for n in ("companies", "price_snapshot", "period_results", "shareholding", "company_indices")}
     again = run_batch(tables, landed, index_registry(spark, KEYS), "r2", T0, datetime(2026, 7, 5))
-    for name in ("companies", "market_data", "period_results"):
+    for name in ("companies", "price_snapshot", "period_results"):
         assert tables.changes(name, again.written[name]).count() == 0
     after = {n: sorted(map(str, tables.read(n).drop("updated_at", "dynamic_updated_at").collect()))
              for n in before}
     assert after == before
     run = again.run.first()
     assert (run.static_refreshed, run.static_cache_hits) == (1, 1)
-    stamps = {r.nse_symbol: r.updated_at for r in tables.read("market_data").collect()}
+    stamps = {r.nse_symbol: r.updated_at for r in tables.read("price_snapshot").collect()}
     assert set(stamps.values()) == {datetime(2026, 7, 4, 10, 6, 3)}
 
 

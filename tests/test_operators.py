@@ -52,10 +52,12 @@ def test_universe(constituents):
     assert tcs.index_keys == ["nifty_it", "nifty_midcap_150", "nifty_smallcap_250"]
     limited = discover(constituents, ["nifty_it"], limit=2)
     assert [r.index_keys for r in listing(limited).collect()] == ["nifty_midcap_150", "nifty_it"]
-    wanted = filters.requested_symbols(" tcs, ,steel")
-    assert wanted == ["TCS", "STEEL"]
-    got = discover(constituents, ["nifty_it"], symbols=wanted).collect()
-    assert [r.nse_symbol for r in got] == ["TCS"]
+    request = constituents.sparkSession.createDataFrame([(" tcs, ,steel",), (None,)], "asked string")
+    wanted = filters.requested_symbols(request, "asked", "nse_symbol")
+    assert sorted(r.nse_symbol for r in wanted.collect()) == ["STEEL", "TCS"]
+    for symbols in (wanted, ["tcs", "steel"]):
+        got = discover(constituents, ["nifty_it"], symbols=symbols).collect()
+        assert [r.nse_symbol for r in got] == ["TCS"]
 
 
 def test_members(spark, constituents):

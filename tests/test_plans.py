@@ -39,7 +39,7 @@ def test_upsert_shuffles_each_side_once(spark, no_broadcast, name):
 
 
 def test_rank_limit_holds_before_the_shuffle(spark, no_broadcast):
-    for name in ("latest_n_periods", "quarterly_report", "feed_to_periods"):
+    for name in ("latest_n_periods", "quarterly_report"):
         assert plan(spark, name).count("WindowGroupLimit") == 2
 
 
@@ -54,5 +54,5 @@ def test_scans_read_the_needed_columns(spark):
 
 
 def test_entities_take_one_trip_to_python(spark):
-    for name in ("feed_to_market", "feed_to_periods", "resolve_identity", "merge_by_key"):
+    for name in ("feed_to_prices", "feed_to_periods", "resolve_identity", "merge_by_key"):
         assert plan(spark, name).count("ArrowEvalPython") == 1
