@@ -157,14 +157,17 @@ def split_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Dat
                                 lambda s: s["start"]).alias("starts"))
 
 
-def measured(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``(row, doc_id, source, key, size, n_blocks)`` of each row, written once."""
+def measured(docs: DataFrame, block_words: int = BLOCK_WORDS, numbered: bool = False) -> DataFrame:
+    """``(row, doc_id, source, key, size, n_blocks)`` of each row, written once.
+
+    Rows get a number as they are written, or bring their own in a column ``row``.
+    """
     sized = docs.select(
-        *(["row"] if "row" in docs.columns else []), "doc_id", "source",
+        *(["row"] if numbered else []), "doc_id", "source",
         F.xxhash64("doc_id", text_of()).alias("key"),
         F.size(words_of(text_of())).cast("long").alias("size")).withColumn(
         "n_blocks", F.ceil(F.col("size") / block_words).cast("long"))
-    if "row" not in sized.columns:
+    if not numbered:
         sized = sized.withColumn("row", F.monotonically_increasing_id())
     return stage(sized, "mix-sizes")
 
@@ -248,7 +251,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     block_words = options.get("block_words", BLOCK_WORDS)
     rows = stage(docs.select(F.struct("*").alias("kept")).withColumn(
         "row", F.monotonically_increasing_id()), "mix-rows")
-    sizes = measured(rows.select("row", "kept.doc_id", "kept.source", "kept.text"), block_words)
+    sizes = measured(rows.select("row", "kept.doc_id", "kept.source", "kept.text"), block_words, True)
     drawn, _ = mix(sizes, **options)
     picks = drawn.groupBy("row", "round").agg(
         F.sum("words").alias("taken"),
