@@ -1,7 +1,8 @@
 """Each operator, with its production parameters, on its whole table."""
 
 from equifacts.llm import (
-    fingerprints, jaccard_join, language_id, licenses, mixing, packing, pii, quality_rules, toxicity)
+    fingerprints, jaccard_join, language_id, licenses, mixing, packing, pii, quality_rules,
+    secrets, toxicity)
 from equifacts.llm.common import read
 
 SQL: dict[str, str] = {}
@@ -19,6 +20,10 @@ def op3_toxicity(spark, folder):
     return toxicity.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op4_secret_scan(spark, folder):
+    return secrets.scan(read(spark, folder, "documents"))
+
+
 def op5_language_id(spark, folder):
     return language_id.report(read(spark, folder, "documents"))
 
@@ -44,5 +49,5 @@ def op10_license_scan(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_pii, op3_toxicity, op5_language_id, op6_mixing, op7_quality_rules,
+    op1_best_fit_packing, op2_pii, op3_toxicity, op4_secret_scan, op5_language_id, op6_mixing, op7_quality_rules,
     op8_jaccard_join, op9_fingerprints, op10_license_scan)}

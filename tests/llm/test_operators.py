@@ -8,7 +8,8 @@ from collections import Counter
 import pytest
 
 from equifacts.llm import (
-    fingerprints, graph, jaccard_join, language_id, licenses, mixing, packing, pii, quality_rules, toxicity)
+    fingerprints, graph, jaccard_join, language_id, licenses, mixing, packing, pii, quality_rules, secrets,
+    toxicity)
 from equifacts.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row int, size string"
@@ -397,6 +398,25 @@ def test_signatures(text, labels):
     assert [rule.label for *_, rule in licenses.scan(text)] == labels
 
 
+# Secrets
+
+def test_secret_candidates(given_docs):
+    pattern = re.compile(r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z0-9_+/=-]*[0-9])[A-Za-z0-9_+/=-]{16,}")
+    want = [(i, m.start(), m.end()) for i, t in both(given_docs) for m in pattern.finditer(t)]
+    rows = secrets.scan(given_docs)
+    assert bag(rows.select("doc_id", "start", "end").collect()) == bag(want)
+
+
+def test_forest_tells_secrets_from_other_runs(spark):
+    key = [hashlib.sha1(str(k).encode()).hexdigest() for k in range(80)]
+    texts = [(k, f'set token = "{key[k]}" now', None, None) for k in range(60)]
+    texts += [(100 + k, f"order number {key[k].translate({c: 49 + c % 9 for c in range(97, 103)})} shipped", None, None)
+              for k in range(60)]
+    texts += [(200, f"commit {key[70]} merged", None, None)]
+    got = {r.doc_id: r.is_secret for r in secrets.scan(rows_of(spark, texts)).collect()}
+    assert all(got[k] for k in range(60)) and not any(got[100 + k] for k in range(60)) and not got[200]
+
+
 # Models
 
 def test_languages(given_docs, spark):
@@ -472,10 +492,10 @@ def test_models_without_labels(docs, empty, spark):
 @pytest.mark.parametrize("run", [
     packing.pack_documents, pii.report, pii.mask, mixing.report, mixing.mixed, quality_rules.report,
     quality_rules.keep_good, jaccard_join.join_report, jaccard_join.keep_first, fingerprints.report,
-    fingerprints.fingerprints, licenses.report, language_id.report])
+    fingerprints.fingerprints, licenses.report, language_id.report, secrets.scan])
 def test_empty_tables(empty, run):
     assert run(empty).collect() == []
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [1, 2, 3, 5, 6, 7, 8, 9, 10]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
