@@ -60,7 +60,7 @@ def constituents(d: Data) -> DataFrame:
                F.concat(F.lit("IN"), F.col("o_orderkey"))).alias("ISIN Code"),
         F.col("o_orderpriority").alias("index_key"),
         F.lit(0).cast("long").alias("block_start"), F.col("o_orderkey").alias("row_pos"))
-    ranked = rows.join(F.broadcast(registry(d).select("index_key", "index_rank")), "index_key")
+    ranked = rows.join(registry(d).select("index_key", "index_rank"), "index_key")
     return clean_constituents(ranked)
 
 

@@ -51,5 +51,5 @@ def explode_members(merged: DataFrame, key: str, registry: DataFrame,
                     members: str = "index_keys") -> DataFrame:
     """Bridge rows of the members that the registry knows, with their display names."""
     rows = merged.select(key, F.explode(members).alias("index_key"))
-    return rows.join(F.broadcast(registry.select("index_key", "index_name")), "index_key").select(
+    return rows.join(registry.select("index_key", "index_name"), "index_key").select(
         key, "index_key", "index_name")

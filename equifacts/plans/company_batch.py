@@ -4,6 +4,7 @@ All companies are processed at once by joins on the symbol. Frames that several
 are staged in the shared scratch folder, which also cuts their lineage.
 """
 
+import dataclasses
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -29,7 +30,13 @@ from equifacts.plans import reports, runs
 from equifacts.plans.universe import INDUSTRIES, discover
 from equifacts.schemas import PRICE_FIELDS, PERIOD_FIELDS, PROFILE_FIELDS, REPORTED_FIELDS
 from equifacts.session import stage
-from equifacts.sources.feeds import RESULT_KINDS, price_rows, suggest_entries, typed_results
+from equifacts.sources.feeds import (
+    RESULT_KINDS,
+    feed_entries,
+    price_rows,
+    suggest_entries,
+    typed_results,
+)
 from equifacts.sources.pages import extract_pages, holding_rows, holdings_json
 from equifacts.sources.tables import Tables
 
@@ -37,6 +44,7 @@ NO_MATCH = "No vendor match for symbol/ISIN"
 EMPTY_FEED = "Empty price feed"
 NOT_LANDED = "No response landed"
 BAD_PAYLOAD = "Payload is not a JSON object"
+UNACCOUNTED = "Neither finished nor failed for a known reason"
 # Stamps of the companies table and when each is set.
 COMPANY_STAMPS = {
     "static_updated_at": "page_read", "dynamic_updated_at": "refreshed",
@@ -63,6 +71,27 @@ class RunResult:
     written: dict[str, int]
 
 
+def landed_between(landed: Landed, since=None, until=None) -> Landed:
+    """The responses that landed from ``since`` on and before ``until``.
+
+    Tables kept in folders by day, as a column ``landed_on``, are read for these days only.
+    """
+    def cut(rows: DataFrame) -> DataFrame:
+        fetched, by_day = F.col("fetched_at"), "landed_on" in rows.columns
+        if since is not None:
+            first = F.lit(since).cast("timestamp")
+            rows = rows.where(fetched >= first)
+            rows = rows.where(F.col("landed_on") >= first.cast("date")) if by_day else rows
+        if until is not None:
+            last = F.lit(until).cast("timestamp")
+            rows = rows.where(fetched < last)
+            rows = rows.where(F.col("landed_on") <= last.cast("date")) if by_day else rows
+        return rows
+
+    return dataclasses.replace(landed, **{
+        n: cut(getattr(landed, n)) for n in ("suggest", "pricefeed", "results", "pages")})
+
+
 def newest_response(landed: DataFrame, keys: list[str]) -> DataFrame:
     """The newest landed row per key. A later join on the same key needs no further shuffle."""
     window = Window.partitionBy(*keys).orderBy(F.desc("fetched_at"), "error", "body")
@@ -119,10 +148,11 @@ def results_stage(good: DataFrame, results: DataFrame,
     wanted = good.select(
         "nse_symbol", F.explode(F.array(*[F.lit(k) for k in RESULT_KINDS])).alias("kind"))
     seen = landed_state(wanted, results, ["nse_symbol", "kind"])
-    bad = F.when(~payload.is_object(payload.parse(F.col("body"))), BAD_PAYLOAD)
-    checked = seen.withColumn("reason", F.coalesce("reason", bad))
-    states = stage(checked.select("nse_symbol", "kind", "reason"), "results")
-    rows = stage(typed_results(checked.where(F.col("reason").isNull())), "periods")
+    # One pass over the feeds; states and period rows are read from the small extract.
+    extract = stage(feed_entries(seen, ["nse_symbol", "kind", "reason"]), "results").withColumn(
+        "reason", F.coalesce("reason", F.when(~F.col("readable"), BAD_PAYLOAD)))
+    states = extract.where(F.coalesce("pos", F.lit(0)) == 0).select("nse_symbol", "kind", "reason")
+    rows = typed_results(extract.where(F.col("reason").isNull()))
     errors = quality.union_all([
         quality.error_rows(states.where(F.col("kind") == k), "nse_symbol", k,
                            F.col("reason"), run_ts) for k in RESULT_KINDS]
@@ -168,13 +198,36 @@ def page_stage(good: DataFrame, pages: DataFrame, stored: DataFrame, run_ts,
 def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str, started_at,
               run_ts, symbols: list[str] | None = None, limit: int | None = None,
               industries: list[str] = INDUSTRIES, ttl_days: float = TTL_DAYS,
-              fresh: bool = False) -> RunResult:
-    """Process everything that is due and publish it as the next version of each table."""
+              fresh: bool = False, since=None, until=None,
+              stamps: dict[str, str] = COMPANY_STAMPS) -> RunResult:
+    """Process everything that is due and publish it as the next version of each table.
+
+    Only responses that landed from ``since`` to ``until`` belong to the run; all of them if
+    neither is given. ``stamps`` says when each stamp of the companies table is set.
+
+    A record of the run stands from its start on and ends as ``completed`` or ``interrupted``.
+    The ledger is written last and every record is replaced by run, so a run repeated under
+    its id after a failure leaves the same tables and records as one that never failed.
+    """
     tables.create()
+    started = runs.started_record(registry.sparkSession, started_at)
+    tables.replace_run("scrape_runs", run_id, started)
+    try:
+        return process(tables, landed_between(landed, since, until), registry, run_id, started_at,
+                       run_ts, symbols, limit, industries, ttl_days, fresh, stamps)
+    except BaseException:
+        tables.replace_run(
+            "scrape_runs", run_id, started.withColumn("notes", F.lit("interrupted")))
+        raise
+
+
+def process(tables: Tables, landed: Landed, registry: DataFrame, run_id: str, started_at, run_ts,
+            symbols, limit, industries, ttl_days, fresh, stamps) -> RunResult:
+    """The run between its start and its end record."""
     whole_sector = [r.index_key for r in registry.where("whole_sector").collect()]
     universe = stage(discover(
         landed.constituents, whole_sector, industries, symbols, limit), "universe")
-    done = finished(tables.read("ledger"), run_id, fresh)
+    done = stage(finished(tables.read("ledger"), run_id, fresh).select("nse_symbol"), "done")
     todo = unfinished(universe, done, "nse_symbol")
 
     resolved, resolve_errors = resolve_stage(todo, landed.suggest, run_ts)
@@ -182,6 +235,8 @@ def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str,
     periods, absent, result_errors = results_stage(good, landed.results, run_ts)
     marked, pages, holdings, page_errors = page_stage(
         good, landed.pages, tables.read("companies"), run_ts, ttl_days)
+    failures = quality.union_all([resolve_errors, price_errors])
+    unexpected = unaccounted(todo, good, failures, run_ts)
 
     read = pages.withColumn("page_read", F.lit(True))
     profiles = stage(
@@ -193,10 +248,13 @@ def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str,
         "refreshed", F.lit(True))
     memberships = explode_members(good, "nse_symbol", registry)
 
-    written = publish_batch(tables, batch, good, periods, holdings, memberships, run_ts)
+    written = publish_batch(tables, batch, good, periods, holdings, memberships, run_ts, stamps)
 
+    # What an earlier attempt noted about companies that it finished still holds.
+    earlier = tables.read("scrape_errors").where(F.col("run_id") == run_id).drop("run_id").join(
+        done, "nse_symbol", "left_semi")
     errors = stage(quality.union_all(
-        [resolve_errors, price_errors, result_errors, page_errors]), "errors")
+        [failures, result_errors, page_errors, unexpected, earlier]), "errors")
     missing = stage(missing_report(profiles, absent), "missing")
     scope = run_scope(good, done.join(universe, "nse_symbol", "left_semi"), "nse_symbol")
     run = runs.with_times(runs.run_counters([
@@ -204,8 +262,8 @@ def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str,
         runs.rows_in(seen_symbols(landed.constituents), "constituents_seen"),
         runs.rows_in(universe, "it_companies"),
         runs.rows_in(good, "companies_scraped"),
-        runs.rows_in(quality.union_all(
-            [resolve_errors, price_errors]).select("nse_symbol").distinct(), "companies_failed"),
+        runs.rows_in(failures.unionByName(unexpected).select("nse_symbol").distinct(),
+                     "companies_failed"),
         runs.counters(
             marked, static_refreshed=F.count_if("stale"), static_cache_hits=F.count_if(~F.col("stale"))),
         runs.rows_in(requests_landed(landed, todo, resolved, marked), "requests_made"),
@@ -213,16 +271,23 @@ def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str,
         runs.rows_in(missing, "companies_missing_fields"),
     ]), started_at, run_ts)
     run = stage(run, "run")
-    tables.append("scrape_runs", run.withColumns(
-        {"run_id": F.lit(run_id), "notes": F.lit("completed")}))
-    tables.append("scrape_errors", errors.withColumn("run_id", F.lit(run_id)))
-    tables.append("ledger", good.select(
-        F.lit(run_id).alias("run_id"), "nse_symbol", F.lit(LEDGER_VERSION).cast("long").alias("version")))
+    tables.replace_run("scrape_errors", run_id, errors)
+    tables.replace_run("scrape_runs", run_id, run.withColumn("notes", F.lit("completed")))
+    tables.replace_run("ledger", run_id, run_scope(good, done, "nse_symbol").withColumn(
+        "version", F.lit(LEDGER_VERSION).cast("long")))
     return RunResult(universe, stage(scope, "scope"), errors, missing, run, written)
 
 
+def unaccounted(todo: DataFrame, good: DataFrame, failures: DataFrame, run_ts) -> DataFrame:
+    """An error row for each company that is neither good nor failed for a known reason."""
+    known = good.select("nse_symbol").union(failures.select("nse_symbol"))
+    return quality.error_rows(
+        todo.join(known, "nse_symbol", "left_anti"), "nse_symbol", "unexpected",
+        F.lit(UNACCOUNTED), run_ts, "company_name")
+
+
 def publish_batch(tables: Tables, batch, good, periods, holdings, memberships,
-                  run_ts) -> dict[str, int]:
+                  run_ts, stamps=COMPANY_STAMPS) -> dict[str, int]:
     """Upsert or replace the touched buckets of each table; gives the version of each."""
     def merge(name, incoming, values, **how):
         keys, touched = tables.keys[name], tables.touched(name, incoming)
@@ -239,7 +304,7 @@ def publish_batch(tables: Tables, batch, good, periods, holdings, memberships,
 
     on_change = {"updated_at": "on_change"}
     plans = [
-        merge("companies", batch, PROFILE_FIELDS, stamps=COMPANY_STAMPS),
+        merge("companies", batch, PROFILE_FIELDS, stamps=stamps),
         merge("price_snapshot", good.select("nse_symbol", *PRICE_FIELDS), PRICE_FIELDS,
               insert_reports="all", stamps=on_change),
         merge("period_results", periods, PERIOD_FIELDS, order=["pos"], stamps=on_change),

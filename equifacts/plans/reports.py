@@ -9,6 +9,7 @@ from equifacts.operators.latest import latest_period, latest_periods, order_peri
 from equifacts.operators.merge import member_names
 from equifacts.operators.quality import errors_and_missing
 from equifacts.schemas import PRICE_FIELDS, PERIOD_FIELDS
+from equifacts.session import stage
 
 # Printed headers and the column behind each.
 COMPANY_LIST = {
@@ -152,7 +153,8 @@ def report_bundle(companies: DataFrame, prices: DataFrame, memberships: DataFram
                   errors: DataFrame, missing: DataFrame, summary: DataFrame,
                   ) -> dict[str, DataFrame]:
     """The ten tables of a run by sheet name."""
-    view = companies_with_prices(companies, prices, scope)
+    # Six sheets read this join.
+    view = stage(companies_with_prices(companies, prices, scope), "report-view")
     in_run = in_scope(memberships, scope, "nse_symbol")
     annual = in_scope(periods.where(F.col("period_type") == "Y"), scope, "nse_symbol")
     sheets = {

@@ -1,10 +1,11 @@
 """Counters and verdict of a run."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equifacts.functions.text import stamp_text
 from equifacts.operators.quality import union_all
+from equifacts.schemas import TABLES
 
 # Lines of the run summary, in print order.
 SUMMARY_LINES = {
@@ -53,6 +54,13 @@ def with_times(counters: DataFrame, started_at, finished_at) -> DataFrame:
         "failed", (F.col("companies_scraped") == 0) & (F.col("companies_failed") > 0))
 
 
+def started_record(spark: SparkSession, started_at) -> DataFrame:
+    """The record of a run that has begun: its start, and nothing else yet."""
+    return spark.range(1).select(*[
+        F.lit(started_at if f.name == "started_at" else None).cast(f.dataType).alias(f.name)
+        for f in TABLES["scrape_runs"] if f.name != "run_id"])
+
+
 def execution_summary(run: DataFrame) -> DataFrame:
     """Metric and value, one line per metric."""
     shown = {n: F.col(n).cast("string") for n in SUMMARY_LINES}

@@ -23,7 +23,7 @@ def read_constituents(spark: SparkSession, paths, registry: DataFrame) -> DataFr
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("row_pos")))
     tagged = scan.join(
-        F.broadcast(registry.select("csv_filename", "index_key", "index_rank")), "csv_filename")
+        registry.select("csv_filename", "index_key", "index_rank"), "csv_filename")
     return clean_constituents(tagged)
 
 

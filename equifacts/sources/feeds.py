@@ -103,21 +103,29 @@ def price_rows(landed: DataFrame, keys: list[str], body: str = "body") -> DataFr
         *[_first(names, ks, normalise).alias(n) for n, ks in ATTRIBUTE_KEYS.items()])
 
 
+def feed_entries(landed: DataFrame, keys: list[str], body: str = "body",
+                 label_key: str = LABEL_KEY,
+                 measures: dict[str, list[str]] = MEASURE_KEYS) -> DataFrame:
+    """Every entry of each results feed with its place; a feed without entries keeps one row
+    without a place. ``readable`` tells whether the body is a JSON object."""
+    feed = F.col("_feed")
+    entries = landed.withColumn("_feed", payload.parse(F.col(body))).select(
+        *keys, payload.is_object(feed).alias("readable"),
+        F.posexplode_outer(payload.items(feed, "$.data")).alias("pos", "_entry"))
+    names = list(dict.fromkeys([label_key, *(k for ks in measures.values() for k in ks)]))
+    texts = _texts(entries, "_entry", names, [*keys, "readable", "pos"])
+    return texts.select(
+        *keys, "readable", "pos", _first(names, [label_key], normalise).alias("period_label"),
+        *[_first(names, ks, to_number).alias(n) for n, ks in measures.items()])
+
+
 def result_rows(landed: DataFrame, keys: list[str], body: str = "body",
                 label_key: str = LABEL_KEY,
                 measures: dict[str, list[str]] = MEASURE_KEYS) -> DataFrame:
     """Period rows of each results feed: all entries that carry a label and a decisive
     measure, with their place in the feed."""
-    listed = payload.items(payload.parse(F.col(body)), "$.data")
-    entries = landed.select(
-        *keys, F.posexplode(listed).alias("pos", "_entry")
-    ).where(payload.is_object(F.col("_entry")))
-    names = list(dict.fromkeys([label_key, *(k for ks in measures.values() for k in ks)]))
-    texts = _texts(entries, "_entry", names, [*keys, "pos"])
-    rows = texts.select(
-        *keys, "pos", _first(names, [label_key], normalise).alias("period_label"),
-        *[_first(names, ks, to_number).alias(n) for n, ks in measures.items()])
-    return keep_filled(rows, [m for m in DECISIVE if m in measures])
+    entries = feed_entries(landed, keys, body, label_key, measures).drop("readable")
+    return keep_filled(entries, [m for m in DECISIVE if m in measures])
 
 
 def keep_filled(rows: DataFrame, decisive: list[str] = DECISIVE) -> DataFrame:
@@ -126,12 +134,11 @@ def keep_filled(rows: DataFrame, decisive: list[str] = DECISIVE) -> DataFrame:
     return rows.where(F.col("period_label").isNotNull() & filled)
 
 
-def typed_results(landed: DataFrame) -> DataFrame:
-    """Rows of the results feeds as period rows; unknown kinds yield nothing."""
+def typed_results(entries: DataFrame) -> DataFrame:
+    """Entries of the results feeds as period rows; unknown kinds yield nothing."""
     pairs = [F.lit(x) for kv in RESULT_KINDS.items() for x in kv]
-    known = landed.where(F.col("kind").isin(list(RESULT_KINDS)))
-    rows = result_rows(known, ["nse_symbol", "kind"])
-    return rows.select(
+    known = keep_filled(entries.where(F.col("kind").isin(list(RESULT_KINDS))))
+    return known.select(
         "nse_symbol",
         F.create_map(*pairs)[F.col("kind")].alias("period_type"),
         "period_label", *PERIOD_FIELDS, "pos")

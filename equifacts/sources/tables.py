@@ -5,8 +5,12 @@ the touched buckets into a new folder and then appends one manifest row per buck
 reader sees all of a version or nothing, and untouched buckets are not rewritten. The
 number of buckets is fixed for a table's life: choose it so that one bucket is a few
 gigabytes. One writer per table at a time.
+
+Records of runs are kept apart: each run has a folder of its own, which it replaces as a whole.
 """
 
+from urllib.parse import quote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +62,8 @@ class Tables:
         """The newest version, of all buckets or of the given ones."""
         layout = self.layouts[name]
         if name not in self.keys:
-            return self.spark.read.schema(layout).parquet(self.path(name))
+            stored = self.spark.read.schema(layout).parquet(self.path(name))
+            return stored.select(*layout.fieldNames())
         versions = {b: v for b, v in self._versions(name).items() if only is None or b in only}
         if not versions:
             return self.spark.createDataFrame([], layout)
@@ -110,8 +115,11 @@ class Tables:
         logged = stored.where(F.col(OP).isin("insert", "update"))
         return logged.select(*keys, F.col(OP).alias("op"), F.col(CHANGED).alias("changed"))
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        rows.select(*self.layouts[name].fieldNames()).write.mode("append").parquet(self.path(name))
+    def replace_run(self, name: str, run_id: str, rows: DataFrame) -> None:
+        """Write all rows that a run leaves in a table of records; a repeated run replaces them."""
+        fields = [f for f in self.layouts[name].fieldNames() if f != "run_id"]
+        rows.select(*fields).write.mode("overwrite").parquet(
+            f"{self.path(name)}/run_id={quote(run_id, safe='')}")
 
     def has_version(self, name: str, version: int) -> bool:
         manifest = self.spark.read.schema(MANIFEST).parquet(self._manifest_path(name))

@@ -1,13 +1,14 @@
 """A whole run over landed tables, and the stored tables it leaves behind."""
 
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from equifacts.plans import reports, runs
-from equifacts.plans.company_batch import Landed, run_batch, run_reports
+from equifacts.plans.company_batch import (
+    Landed, landed_between, run_batch, run_reports, unaccounted)
 from equifacts.schemas import LANDED_RESULTS, LANDING, TABLES
 from equifacts.sources.constituents import read_constituents
 from equifacts.sources.registry import index_registry
@@ -197,9 +198,95 @@ def test_resumed_run_skips_finished(spark, landed, ran):
     resumed = run_batch(tables, landed, index_registry(spark, KEYS), "r1", T0, datetime(2026, 7, 5))
     assert resumed.run.first().companies_scraped == 0
     assert {r.nse_symbol for r in resumed.scope.collect()} == {"TCS", "INFY"}
+    of_r1 = F.col("run_id") == "r1"
+    assert tables.read("scrape_errors").where(of_r1).count() == 6
+    assert tables.read("ledger").where(of_r1).count() == 2
+    assert tables.read("scrape_runs").where(of_r1).count() == 1
     assert runs.latest_run(tables.read("scrape_runs"), T0).first().run_id == "r2"
 
 
+class Failing(Tables):
+    """Tables whose owner fails after so many writes."""
+
+    def __init__(self, *how, writes, **more):
+        super().__init__(*how, **more)
+        self.writes = writes
+
+    def count(self):
+        self.writes -= 1
+        if self.writes == 0:
+            raise InterruptedError
+
+    def publish(self, *how, **more):
+        super().publish(*how, **more)
+        self.count()
+
+    def replace_run(self, name, *how):
+        super().replace_run(name, *how)
+        if name != "scrape_runs":
+            self.count()
+
+
+def test_run_repeated_after_failures(spark, landed, tmp_path):
+    """After the third publish, then after all five and the errors."""
+    root, at = str(tmp_path), datetime(2026, 7, 4, 10, 6, 3)
+    for writes in (3, 6):
+        failing = Failing(spark, root, buckets=4, writes=writes)
+        with pytest.raises(InterruptedError):
+            run_batch(failing, landed, index_registry(spark, KEYS), "r:1", T0, at)
+        record = failing.read("scrape_runs").collect()
+        assert [(r.run_id, r.notes, r.started_at, r.finished_at) for r in record] == [
+            ("r:1", "interrupted", T0, None)]
+        assert failing.read("ledger").count() == 0
+    tables = Tables(spark, root, buckets=4)
+    run_batch(tables, landed, index_registry(spark, KEYS), "r:1", T0, at)
+    record = tables.read("scrape_runs").collect()
+    assert [(r.notes, r.companies_scraped, r.companies_failed, r.finished_at) for r in record] == [
+        ("completed", 2, 3, at)]
+    assert tables.read("scrape_errors").count() == 6
+    assert sorted(r.nse_symbol for r in tables.read("ledger").collect()) == ["INFY", "TCS"]
+    rows = tables.read("companies").collect()
+    assert {(r.created_at, r.updated_at) for r in rows} == {(at, at)} and len(rows) == 2
+    assert tables.read("period_results").count() == 5
+
+
+def test_run_reads_its_own_landing_only(spark, landed, tmp_path):
+    """Two landings by day; the second run must not see what only the first one fetched."""
+    days = [datetime(2026, 7, 4, 10), datetime(2026, 7, 6, 9)]
+
+    def by_day(rows, *second):
+        parts = [rows.withColumn("fetched_at", F.lit(days[0]).cast("timestamp"))]
+        parts += [p.withColumn("fetched_at", F.lit(days[1]).cast("timestamp")) for p in second]
+        folder = str(tmp_path / f"landed-{len(list(tmp_path.iterdir()))}")
+        for part in parts:
+            part.withColumn("landed_on", F.to_date("fetched_at")).write.mode(
+                "append").partitionBy("landed_on").parquet(folder)
+        return spark.read.parquet(folder)
+
+    tcs = [f.where("symbol = 'TCS'") for f in (landed.suggest, landed.pricefeed, landed.results)]
+    both = Landed(landed.constituents, by_day(landed.suggest, tcs[0]),
+                  by_day(landed.pricefeed, tcs[1]), by_day(landed.results, tcs[2]), by_day(landed.pages))
+    tables = Tables(spark, str(tmp_path / "tables"), buckets=4)
+    result = run_batch(
+        tables, both, index_registry(spark, KEYS), "r1", days[1], days[1],
+        since=datetime(2026, 7, 5), until=datetime(2026, 7, 7), stamps={"updated_at": "always"})
+    run = result.run.first()
+    assert (run.companies_scraped, run.companies_failed, run.requests_made) == (1, 4, 4)
+    errors = {(r.nse_symbol, r.stage): r.message for r in result.errors.collect()}
+    assert errors["INFY", "resolve"] == errors["TCS", "profile"] == "No response landed"
+    assert [r.created_at for r in tables.read("companies").collect()] == [None]
+    cut = landed_between(both, datetime(2026, 7, 5), datetime(2026, 7, 7)).results
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(landed_on" in plan
+    assert cut.select("landed_on").distinct().collect() == [(date(2026, 7, 6),)]
+
+
+def test_company_without_outcome_is_listed(spark):
+    todo = spark.createDataFrame([("A", "a"), ("B", "b"), ("C", "c")], "nse_symbol string, company_name string")
+    rows = unaccounted(todo, todo.where("nse_symbol = 'A'"), todo.where("nse_symbol = 'B'"), T0).collect()
+    assert [(r.nse_symbol, r.company_name, r.stage) for r in rows] == [("C", "c", "unexpected")]
+
+
 def test_create_is_idempotent(spark, tmp_path):
     tables = Tables(spark, str(tmp_path), buckets=2)
     tables.create()

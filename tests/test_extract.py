@@ -167,5 +167,5 @@ def test_unknown_kind_is_ignored(spark):
         [("A", "monthly", '{"data":[{"yrc0":"Mar 24","Basic EPS":1}]}'),
          ("A", "yearly", '{"data":[{"yrc0":"Mar 24","Basic EPS":1}]}')],
         "nse_symbol string, kind string, body string")
-    rows = feeds.typed_results(df).collect()
+    rows = feeds.typed_results(feeds.feed_entries(df, ["nse_symbol", "kind"])).collect()
     assert [(r.period_type, r.basic_eps) for r in rows] == [("Y", 1.0)]
