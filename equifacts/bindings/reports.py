@@ -23,7 +23,7 @@ from equifacts.operators.upsert import upsert
 from equifacts.plans import reports
 from equifacts.plans.company_batch import Landed, run_batch, run_reports
 from equifacts.plans.universe import merged_constituents
-from equifacts.schemas import PRICE_FIELDS, PERIOD_FIELDS, PROFILE_FIELDS
+from equifacts.schemas import PRICE_FIELDS, PROFILE_FIELDS
 from equifacts.session import scratch_path
 from equifacts.sources.registry import index_registry
 from equifacts.sources.tables import Tables, write_csv
@@ -45,6 +45,14 @@ def companies(d: Data) -> DataFrame:
         F.col("c_mktsegment").alias("sector"),
         F.concat(F.lit("N"), "c_nationkey").alias("industry"),
         F.concat(F.lit("http://x/"), "c_custkey").alias("mc_url"),
+        F.concat(F.lit("B"), "c_custkey").alias("bse_symbol"),
+        F.when(F.col("c_nationkey") > 2, F.concat(F.lit("IN"), "c_custkey")).alias("isin"),
+        F.when(F.col("c_nationkey") > 3, F.concat(F.lit("http://w/"), "c_custkey")).alias("website"),
+        F.concat("c_custkey", F.lit("@x.example")).alias("email"),
+        F.concat(F.lit("020-"), "c_custkey").alias("phone"),
+        F.concat("c_mktsegment", F.lit(", "), "c_name").alias("address"),
+        F.lower("c_mktsegment").alias("registrar"),
+        F.concat("c_name", F.lit(" (CEO)")).alias("management"),
         F.when(F.col("c_acctbal") >= 0, F.concat_ws(" ", "c_name", "c_mktsegment")).alias("business_summary"),
         F.lit(TS).cast("timestamp").alias("static_updated_at"),
         F.when(F.col("c_nationkey") > 5, F.lit(TS).cast("timestamp")).alias("dynamic_updated_at"))
@@ -53,9 +61,15 @@ def companies(d: Data) -> DataFrame:
 
 def prices(d: Data) -> DataFrame:
     """Extremes of a customer's orders as its price columns."""
-    rows = d.orders.where("o_orderstatus <> 'P'").groupBy(F.col("o_custkey").alias("nse_symbol")).agg(
-        F.max("o_totalprice").alias("capitalisation_cr"), F.min("o_totalprice").alias("price"))
-    return padded(rows, PRICE_FIELDS, "double")
+    year, month, day = F.year("o_orderdate"), F.month("o_orderdate"), F.day("o_orderdate")
+    found = {
+        "capitalisation_cr": F.max("o_totalprice"), "price": F.min("o_totalprice"),
+        "pe": F.max("o_orderkey"), "pb": F.min("o_orderkey"), "industry_pe": F.count(F.lit(1)),
+        "dividend_yield": F.max(year), "book_value": F.min(year), "eps_ttm": F.max(month),
+        "face_value": F.min(month), "week52_high": F.max(day), "week52_low": F.min(day),
+        "shares_outstanding": F.max(F.length("o_orderpriority"))}
+    return d.orders.where("o_orderstatus <> 'P'").groupBy(F.col("o_custkey").alias("nse_symbol")).agg(
+        *[found[n].cast("double").alias(n) for n in PRICE_FIELDS])
 
 
 def scope(d: Data) -> DataFrame:
@@ -70,9 +84,12 @@ def view(d: Data) -> DataFrame:
 
 def typed_periods(d: Data) -> DataFrame:
     """Customer months; those of finished revenue are both annual and quarterly rows."""
-    rows = padded(period_rows(d).drop("priority"), PERIOD_FIELDS, "double")
-    return rows.withColumn("net_profit", -F.col("revenue")).withColumn(
-        "period_type", F.explode(F.array(F.lit("Q"), F.lit("Y"))))
+    revenue = F.col("revenue")
+    rows = period_rows(d).drop("priority").withColumns({
+        "other_income": revenue * 2, "total_income": revenue * 4, "expenditure": revenue / 2,
+        "interest": revenue / 4, "tax": revenue / 8, "net_profit": -revenue,
+        "basic_eps": F.col("nse_symbol").cast("double")})
+    return rows.withColumn("period_type", F.explode(F.array(F.lit("Q"), F.lit("Y"))))
 
 
 def memberships(d: Data) -> DataFrame:
@@ -83,7 +100,11 @@ def memberships(d: Data) -> DataFrame:
 VIEW_SQL = """
 scope AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'),
 prices AS (
-  SELECT o_custkey AS k, max(o_totalprice) AS cap, min(o_totalprice) AS price
+  SELECT o_custkey AS k, max(o_totalprice) AS cap, min(o_totalprice) AS price,
+    max(o_orderkey)::DOUBLE AS pe, min(o_orderkey)::DOUBLE AS pb, count(*)::DOUBLE AS n_orders,
+    max(year(o_orderdate))::DOUBLE AS y1, min(year(o_orderdate))::DOUBLE AS y0,
+    max(month(o_orderdate))::DOUBLE AS m1, min(month(o_orderdate))::DOUBLE AS m0,
+    max(day(o_orderdate))::DOUBLE AS d1, min(day(o_orderdate))::DOUBLE AS d0
   FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
 firms AS (
   SELECT c_custkey AS k, CASE WHEN c_nationkey <> 0 THEN c_name END AS name, c_mktsegment,
@@ -96,6 +117,12 @@ listed AS (
       WHEN '1-URGENT' THEN 'Urgent' WHEN '5-LOW' THEN 'Low Cap' WHEN '2-HIGH' THEN 'High Cap'
       ELSE 'Rest' END AS name
     FROM orders WHERE o_totalprice >= 2000) GROUP BY 1)"""
+PERIOD_SQL = """
+  revenue AS "Revenue (Rs Cr)", revenue * 2 AS "Other Income (Rs Cr)",
+  revenue * 4 AS "Total Income (Rs Cr)", revenue / 2 AS "Expenditure (Rs Cr)",
+  revenue / 4 AS "Interest (Rs Cr)", revenue / 8 AS "Tax (Rs Cr)",
+  -revenue AS "Net Profit (Rs Cr)", k::DOUBLE AS "Basic EPS"
+"""
 MONTHS_SQL = """
 months AS (
   SELECT o_custkey AS k, strftime(min(o_orderdate), '%b %Y') AS label,
@@ -107,8 +134,8 @@ months AS (
 
 
 @query(f"""WITH {VIEW_SQL}, {NAMES_SQL}
-SELECT name AS "Company Name", k AS "NSE Symbol", NULL::VARCHAR AS "BSE Symbol",
-  NULL::VARCHAR AS "ISIN", c_mktsegment AS "Sector", industry AS "Industry",
+SELECT name AS "Company Name", k AS "NSE Symbol", 'B' || k AS "BSE Symbol",
+  CASE WHEN c_nationkey > 2 THEN 'IN' || k END AS "ISIN", c_mktsegment AS "Sector", industry AS "Industry",
   cap AS "Capitalisation (Rs Cr)", coalesce(names, '') AS "NSE Indices", 'http://x/' || k AS "Vendor URL"
 FROM firms LEFT JOIN prices USING (k) LEFT JOIN listed USING (k)""")
 def company_list(d: Data) -> DataFrame:
@@ -120,43 +147,42 @@ def company_list(d: Data) -> DataFrame:
 SELECT name AS "Company Name", k AS "NSE Symbol", c_mktsegment AS "Sector",
   industry AS "Industry",
   CASE WHEN c_acctbal >= 0 THEN c_name || ' ' || c_mktsegment END AS "Business Summary",
+  CASE WHEN c_nationkey > 3 THEN 'http://w/' || k END AS "Website", k || '@x.example' AS "Email",
+  '020-' || k AS "Phone", c_mktsegment || ', ' || c_name AS "Address",
+  lower(c_mktsegment) AS "Registrar", c_name || ' (CEO)' AS "Management",
   '{TS}' AS "Static Updated (UTC)",
   CASE WHEN c_nationkey > 5 THEN '{TS}' END AS "Dynamic Updated (UTC)"
 FROM firms""")
 def company_profile(d: Data) -> DataFrame:
-    return reports.company_profile(view(d)).drop(
-        "Website", "Email", "Phone", "Address", "Registrar", "Management")
+    return reports.company_profile(view(d))
 
 
 @query(f"""WITH {VIEW_SQL}, {MONTHS_SQL}
 SELECT name AS "Company Name", k AS "NSE Symbol", cap AS "Capitalisation (Rs Cr)", price AS "Price",
+  pe AS "P/E", pb AS "P/B", n_orders AS "Industry P/E", y1 AS "Dividend Yield %",
+  y0 AS "Book Value", m1 AS "EPS (TTM)", m0 AS "Face Value", d1 AS "52W High", d0 AS "52W Low",
   label AS "Latest FY", revenue AS "FY Revenue (Rs Cr)", -revenue AS "FY Net Profit (Rs Cr)"
 FROM firms LEFT JOIN prices USING (k)
 LEFT JOIN (SELECT * FROM months WHERE n = 1) USING (k)""")
 def financial_data(d: Data) -> DataFrame:
     annual = reports.in_scope(typed_periods(d).where("period_type = 'Y'"), scope(d), "nse_symbol")
-    return reports.financial_data(view(d), annual).select(
-        "Company Name", "NSE Symbol", "`Capitalisation (Rs Cr)`", "Price", "Latest FY",
-        "`FY Revenue (Rs Cr)`", "`FY Net Profit (Rs Cr)`")
+    return reports.financial_data(view(d), annual)
 
 
 @query(f"""WITH {VIEW_SQL}, {MONTHS_SQL}
-SELECT name AS "Company Name", k AS "NSE Symbol", label AS "Period",
-  revenue AS "Revenue (Rs Cr)", -revenue AS "Net Profit (Rs Cr)"
+SELECT name AS "Company Name", k AS "NSE Symbol", label AS "Period", {PERIOD_SQL}
 FROM firms JOIN months USING (k) WHERE n <= 3""")
 def quarterly_report(d: Data) -> DataFrame:
     rows = reports.quarterly_rows(typed_periods(d), companies(d), scope(d))
-    return reports.period_report(rows).select(
-        "Company Name", "NSE Symbol", "Period", "`Revenue (Rs Cr)`", "`Net Profit (Rs Cr)`")
+    return reports.period_report(rows)
 
 
 @query(f"""WITH {VIEW_SQL}, {MONTHS_SQL}
-SELECT name AS "Company Name", k AS "NSE Symbol", label AS "Period", revenue AS "Revenue (Rs Cr)"
+SELECT name AS "Company Name", k AS "NSE Symbol", label AS "Period", {PERIOD_SQL}
 FROM firms JOIN months USING (k)""")
 def annual_report(d: Data) -> DataFrame:
     rows = reports.annual_rows(typed_periods(d), companies(d), scope(d))
-    return reports.period_report(rows).select(
-        "Company Name", "NSE Symbol", "Period", "`Revenue (Rs Cr)`")
+    return reports.period_report(rows)
 
 
 @query(f"""WITH {VIEW_SQL}
@@ -280,12 +306,13 @@ WITH seen AS (
   FROM orders WHERE o_totalprice >= 2000 GROUP BY 1),
 good AS (
   SELECT c.*, array_to_string(list_sort(string_split(names, ', ')), ', ') AS names,
-    o.o_orderstatus
+    o.o_orderstatus, CASE WHEN o.o_orderpriority <> '5-LOW' THEN 'IN' || o.o_orderkey END AS isin
   FROM seen s JOIN customer c ON c_custkey = s.o_custkey
   JOIN orders o ON o.o_orderkey = s.first_row[2]
   WHERE (urgent OR o.o_orderstatus = 'F') AND c_acctbal >= 0 AND c_nationkey <> 6)
 SELECT c_name AS "Company Name", CAST(c_custkey AS VARCHAR) AS "NSE Symbol",
   CASE WHEN c_nationkey <> 2 THEN CAST(c_custkey AS VARCHAR) END AS "BSE Symbol",
+  CASE WHEN c_nationkey <> 2 THEN 'IN' || c_custkey ELSE isin END AS "ISIN",
   c_mktsegment AS "Sector", CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS "Industry",
   c_acctbal AS "Capitalisation (Rs Cr)", names AS "NSE Indices", 'http://x/' || c_custkey AS "Vendor URL"
 FROM good""")
@@ -295,4 +322,4 @@ def full_run(d: Data) -> DataFrame:
     result = run_batch(
         tables, landed_tables(d), index_registry(d.spark, indices=INDICES), "r1", TS, TS,
         industries=["F"])
-    return run_reports(tables, result)["Company List"].drop("ISIN")
+    return run_reports(tables, result)["Company List"]
