@@ -41,7 +41,8 @@ def company_pages(d: Data) -> DataFrame:
             F.when(nation != 4, F.lit("State")).alias("state"),
             F.col("c_custkey").alias("pincode"),
             F.concat(F.lit("https://x/"), "c_custkey").alias("web"),
-            F.lit("").alias("email"), F.lit("020-1").alias("telephone1")).alias("address"),
+            F.when(nation > 6, F.concat(F.lit("q"), "c_custkey", F.lit("@x.example"))).otherwise("")
+            .alias("email"), F.lit("020-1").alias("telephone1")).alias("address"),
         F.array(
             F.struct(F.col("c_name").alias("name"), F.lit("CEO").alias("designation")),
             F.struct(F.lit("O'Neil").alias("name"), F.when(nation > 9, "CFO").alias("designation")),
@@ -78,6 +79,7 @@ SELECT c_custkey,
   CASE WHEN c_nationkey <> 2 THEN 'https://x/' || c_custkey END AS website,
   CASE WHEN c_nationkey <> 2 THEN c_name || ', ' || c_mktsegment || ' & Co/Row, '
     || CASE WHEN c_nationkey <> 4 THEN 'State, ' ELSE '' END || c_custkey END AS address,
+  CASE WHEN c_nationkey > 6 THEN 'q' || c_custkey || '@x.example' END AS email,
   CASE WHEN c_nationkey <> 2 THEN '020-1' END AS phone,
   CASE WHEN c_nationkey <> 2 THEN c_mktsegment END AS registrar,
   CASE WHEN c_nationkey <> 2 THEN c_name || ' (CEO); O''Neil ('
@@ -86,7 +88,7 @@ SELECT c_custkey,
   CASE WHEN c_nationkey <> 2 THEN 'IN' || c_custkey END AS isin
 FROM customer""")
 def page_profile(d: Data) -> DataFrame:
-    return extract_pages(company_pages(d), ["c_custkey"]).drop("email")
+    return extract_pages(company_pages(d), ["c_custkey"])
 
 
 @query("""

@@ -81,25 +81,18 @@ def annual_all(d: Data) -> DataFrame:
 
 
 @query(r"""
-WITH labels AS (
-  SELECT o_orderkey, CASE o_orderpriority
+SELECT o_orderkey, CASE o_orderpriority
     WHEN '1-URGENT' THEN strftime(o_orderdate, '%b ''%y')
     WHEN '2-HIGH' THEN strftime(o_orderdate, '%b %Y')
     WHEN '3-MEDIUM' THEN strftime(o_orderdate, ' %B%y ')
     WHEN '5-LOW' THEN strftime(o_orderdate, 'Foo ''%y')
-    ELSE '???' END AS period_label
-  FROM orders),
-parts AS (
-  SELECT *,
-    lower(regexp_extract(trim(period_label), '^([A-Za-z]{3})\w*\s*''?([0-9]{2,4})$', 1)) AS mon,
-    TRY_CAST(regexp_extract(trim(period_label), '^([A-Za-z]{3})\w*\s*''?([0-9]{2,4})$', 2)
-      AS INTEGER) AS yr
-  FROM labels)
-SELECT o_orderkey, period_label,
-  CAST(coalesce(CASE WHEN yr < 100 THEN yr + 2000 ELSE yr END, 0) AS INTEGER) AS period_year,
-  CAST(coalesce(list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct',
-    'nov','dec'], mon), 0) AS INTEGER) AS period_month
-FROM parts""")
+    ELSE '???' END AS period_label,
+  CAST(CASE WHEN o_orderpriority = '2-HIGH' THEN year(o_orderdate)
+    WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 0
+    ELSE 2000 + year(o_orderdate) % 100 END AS INTEGER) AS period_year,
+  CAST(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN month(o_orderdate)
+    ELSE 0 END AS INTEGER) AS period_month
+FROM orders""")
 def period_key(d: Data) -> DataFrame:
     """Labels in the spellings that occur, and some that are no labels."""
     spelled = {

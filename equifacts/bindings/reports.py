@@ -19,6 +19,7 @@ from equifacts.bindings.upserts import (
 )
 from equifacts.functions.text import stamp_text
 from equifacts.operators.merge import explode_members
+from equifacts.operators.quality import union_all
 from equifacts.operators.upsert import upsert
 from equifacts.plans import reports
 from equifacts.plans.company_batch import Landed, run_batch, run_reports
@@ -190,12 +191,46 @@ SELECT name AS "Company Name", k AS "NSE Symbol", o_orderpriority AS "Category",
   max(o_totalprice) AS "Holding %", '{TS}' AS "Updated (UTC)"
 FROM firms JOIN orders ON o_custkey = k GROUP BY ALL""")
 def shareholding_report(d: Data) -> DataFrame:
-    holdings = d.orders.groupBy(
+    return reports.printed(
+        reports.holding_rows(holdings(d), companies(d), scope(d)), reports.HOLDINGS)
+
+
+def holdings(d: Data) -> DataFrame:
+    """The largest order of each priority as a customer's holdings."""
+    rows = d.orders.groupBy(
         F.col("o_custkey").alias("nse_symbol"), F.col("o_orderpriority").alias("category")).agg(
         F.max("o_totalprice").alias("percent"), F.min("o_orderkey").alias("pos"))
-    stamped = holdings.withColumn("updated_at", F.lit(TS).cast("timestamp"))
-    rows = reports.holding_rows(stamped, companies(d), scope(d))
-    return reports.printed(rows, reports.HOLDINGS)
+    return rows.withColumn("updated_at", F.lit(TS).cast("timestamp"))
+
+
+@query(f"""WITH {VIEW_SQL}, {MONTHS_SQL}
+SELECT 'companies' AS csv_table, k AS nse_symbol, name AS company_name, 'B' || k AS label,
+  price AS amount, NULL::VARCHAR AS updated_at
+FROM firms LEFT JOIN prices USING (k)
+UNION ALL SELECT 'quarterly_results', k, name, label, revenue, '{TS}'
+FROM firms JOIN months USING (k) WHERE n <= 3
+UNION ALL SELECT 'annual_results', k, name, label, revenue, '{TS}' FROM firms JOIN months USING (k)
+UNION ALL SELECT 'shareholding', k, name, o_orderpriority, max(o_totalprice), '{TS}'
+FROM firms JOIN orders ON o_custkey = k GROUP BY ALL""")
+def csv_tables(d: Data) -> DataFrame:
+    """The four tables of the CSV export, written and read back."""
+    periods = typed_periods(d).withColumn("updated_at", F.lit(TS).cast("timestamp"))
+    stamped = companies(d).withColumns({
+        s: F.lit(TS).cast("timestamp") for s in ("created_at", "updated_at")})
+    tables = reports.csv_tables(stamped, prices(d), periods, holdings(d), scope(d))
+    folder = scratch_path(d.spark, "csv")
+    label = {"companies": "bse_symbol", "shareholding": "category"}
+    amount = {"companies": "price", "shareholding": "percent"}
+    back = []
+    for name in write_csv(tables, folder):
+        rows = d.spark.read.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+        stamp = F.col("updated_at") if "updated_at" in rows.columns else F.lit(None).cast("string")
+        back.append(rows.select(
+            F.lit(name).alias("csv_table"), F.col("nse_symbol").cast("long").alias("nse_symbol"),
+            "company_name", F.col(label.get(name, "period_label")).alias("label"),
+            F.col(amount.get(name, "revenue")).cast("double").alias("amount"),
+            stamp.alias("updated_at")))
+    return union_all(back)
 
 
 @query("""

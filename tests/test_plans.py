@@ -8,7 +8,7 @@ from equifacts.bindings import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # These run jobs of their own while they are built; their steps are covered by the others.
-EAGER = {"full_run", "landed_increment", "stored_upsert"}
+EAGER = {"full_run", "csv_tables", "landed_increment", "stored_upsert"}
 
 
 def plan(spark, name):
