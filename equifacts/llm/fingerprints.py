@@ -110,37 +110,40 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> Dat
 
 
 def _bucket(bounds: list[int]) -> Column:
-    """How many bounds a document's id has reached; null ids have reached all."""
-    if not bounds:
-        return F.lit(0)
-    reached = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("doc_id")))
-    return F.when(F.col("doc_id").isNull(), len(bounds)).otherwise(reached)
+    """How many of the sorted bounds a document's id has reached; null ids have reached all."""
+    edges = np.array(bounds, np.int64)
+
+    @F.pandas_udf("int")
+    def reached(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, ids, side="right"))
+
+    return reached(F.coalesce(F.col("doc_id"), F.lit(np.iinfo(np.int64).max)))
 
 
 def with_next(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows dealt to buckets of neighbouring ids; each bucket's last rows are ``guests``.
 
     A guest is the row that the document order has next after a bucket: the first of the next
-    one, or, after the last, the first of all. Bounds and first ids are one a bucket.
+    one, or, after the last, the first of all. Bounds and first ids are one a bucket; the
+    buckets' first ids are broadcast, so the plan does not grow with them.
     """
+    spark = docs.sparkSession
     shares = [k / buckets for k in range(1, buckets)]
     bounds = docs.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] if shares else []
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    dealt = dealt.withColumn("bucket", _bucket(sorted(set(bounds or []))))
+    bounds = sorted({int(b) for b in bounds or []})
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    dealt = ids.withColumn("bucket", _bucket(bounds))
     firsts = dealt.groupBy("bucket").agg(F.min("doc_id").alias("first")).orderBy("bucket").collect()
-    homes = [F.struct("bucket", F.lit(False).alias("guest"))]
-    before = {}
-    for at, row in enumerate(firsts):
-        before.setdefault(firsts[at - 1]["bucket"], []).append(row)
-    for home, rows in before.items():
-        for row in rows:
-            # A bucket of null ids only has no smallest id; then all its rows are offered.
-            first = F.col("doc_id").eqNullSafe(F.lit(row["first"]).cast("long"))
-            homes.append(F.when((F.col("bucket") == row["bucket"]) & first, F.struct(
-                F.lit(home).alias("bucket"), F.lit(True).alias("guest"))))
-    grouped = F.array_compact(F.array(*homes))
-    return dealt.select("doc_id", "text", F.explode(grouped).alias("home")).select(
-        "doc_id", "text", "home.bucket", "home.guest")
+    # A bucket of null ids only has no smallest id; then all its rows are offered.
+    homes = spark.createDataFrame(
+        [(row["bucket"], row["first"], firsts[at - 1]["bucket"]) for at, row in enumerate(firsts)],
+        "first_of int, first long, home int")
+    first = (F.col("bucket") == F.col("first_of")) & F.col("doc_id").eqNullSafe(F.col("first"))
+    offered = dealt.join(F.broadcast(homes), first, "left")
+    places = F.array(F.struct("bucket", F.lit(False).alias("guest")), F.when(
+        F.col("home").isNotNull(), F.struct(F.col("home").alias("bucket"), F.lit(True).alias("guest"))))
+    return offered.select("doc_id", "text", F.explode(F.array_compact(places)).alias("place")).select(
+        "doc_id", "text", "place.bucket", "place.guest")
 
 
 def _compare(gram: int, window: int):

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 from collections import Counter
 
@@ -364,6 +365,23 @@ def test_edited_texts(request, table):
         assert next(r for r in rows if r.doc_id == 3).near_next == 1
 
 
+def test_each_row_has_a_next_one_however_many_buckets(spark):
+    ids = [2**53 + 1, 2**53 + 3, 2**53 + 2, -4, None, None, 7, 7]
+    frame = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string")
+    for buckets in (1, 3, 50):
+        rows = fingerprints.with_next(frame, buckets).collect()
+        own = [r for r in rows if not r.guest]
+        assert bag((r.doc_id, r.text) for r in own) == bag(both(frame))
+        order = sorted({(r.bucket, r.doc_id) for r in own}, key=lambda x: (x[1] is None, x[1] or 0))
+        assert [b for b, _ in order] == sorted(b for b, _ in order)
+        used = sorted({b for b, _ in order})
+        for at, home in enumerate(used):
+            following = used[(at + 1) % len(used)]
+            first = next(i for b, i in order if b == following)
+            guests = bag((r.doc_id, r.text) for r in rows if r.guest and r.bucket == home)
+            assert guests == bag((r.doc_id, r.text) for r in own if r.bucket == following and r.doc_id == first)
+
+
 # Licenses
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -392,12 +410,40 @@ def test_base_phrases(request, table):
     ("gnu lesser general public license v2.1", ["lgpl-2.1"]),
     ("licensed under cc by-nc-sa 4.0", ["cc-by-nc-sa-4.0"]),
     ("released under the mit license", ["mit"]), ("a mitten and a licence plate", []),
-    ("spdx-license-identifier: mpl-2.0", ["mpl-2.0"])])
+    ("spdx-license-identifier: mpl-2.0", ["mpl-2.0"]),
+    ("gnu lesser general public license v3", ["lgpl-3.0"]),
+    ("mozilla public\nlicense 2.0", ["mpl-2.0"]), ("mpl-2.0 or the mit license", ["mpl-2.0", "mit"]),
+    ("python 2, php 3 and an apache 2 pilot", []), ("a couple of simple examples, replaced", []),
+    ("see licenses/gpl-3.0 or /licenses/by-sa/4.0/", ["gpl-3.0"]),
+    ("https://creativecommons.org/licenses/by-sa/4.0/", ["cc-by-sa-4.0"]), ("(c) 2010 me", ["copyright"])])
 def test_signatures(text, labels):
     assert len(licenses.rules()) > 200
     assert [rule.label for *_, rule in licenses.scan(text)] == labels
 
 
+def test_keywords_hide_no_find(given_docs):
+    for _, text in both(given_docs):
+        lowered = text.lower().replace("\n", " ")
+        tried = set(licenses._tried(lowered))
+        for rank, rule in enumerate(licenses.rules()):
+            assert rank in tried or not re.search(rule.pattern, lowered)
+
+
+def test_contained_stretches():
+    draw = random.Random(4)
+    for _ in range(200):
+        held, there = licenses.Stretches(), []
+        for _ in range(40):
+            start = draw.randrange(30)
+            end = start + draw.randrange(1, 12)
+            assert held.add(start, end) == (not any(a <= start and end <= b for a, b in there))
+            there.append((start, end))
+
+
+def test_many_finds_in_one_text():
+    assert len(licenses.scan("licensed under gplv3. " * 50_000)) == 50_000
+
+
 # Secrets
 
 def test_secret_candidates(given_docs):
