@@ -32,6 +32,7 @@ CONTEXT = "context"
 TOKEN = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]++"
 CORE = r"[0-9A-Za-z](?:.*[0-9A-Za-z])?"
 MIN_DIGITS = 6
+GROUP = 256
 ROUNDS = 3
 PRIOR = 10.0
 DAMPING = 0.5
@@ -67,29 +68,48 @@ _ACCEPTED = {
 }
 
 
+def grouped(values: Column) -> Column:
+    """The array in runs of ``GROUP`` entries, so that a walk over many entries stays short."""
+    last = F.ceil(F.size(values) / GROUP).cast("int") - 1
+    return F.when(F.size(values) <= GROUP, F.array(values)).otherwise(F.transform(
+        F.sequence(F.lit(0), last), lambda k: F.slice(values, k * GROUP + 1, F.lit(GROUP))))
+
+
 def placed(text: Column, pattern: str) -> Column:
     """The pattern's matches as structs ``(start, end, value)``, in code points.
 
-    Starts are sums over the texts between the matches and the matches before.
+    Starts are sums over the texts between the matches and the matches before: first within
+    each group of matches, then over the groups.
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), 0)
     gaps = F.split(text, pattern)
 
+    def step(acc: Column, s: Column) -> Column:
+        begin = acc["at"] + s["gap"]
+        end = begin + F.length(s["value"])
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(
+            begin.alias("start"), end.alias("end"), s["value"].alias("value")))).alias("spans"))
+
+    def within(steps: Column) -> Column:
+        return F.aggregate(steps, F.struct(F.lit(0).alias("at"), _none().alias("spans")), step)
+
+    def shifted(groups: Column) -> Column:
+        begins = F.aggregate(
+            groups, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins")),
+            lambda acc, g: F.struct(
+                (acc["at"] + g["at"]).alias("at"),
+                F.concat(acc["begins"], F.array(acc["at"])).alias("begins")),
+            lambda acc: acc["begins"])
+        return F.flatten(F.zip_with(groups, begins, lambda g, at: F.transform(
+            g["spans"], lambda s: F.struct(
+                (s["start"] + at).alias("start"), (s["end"] + at).alias("end"),
+                s["value"].alias("value")))))
+
     def lay(found: Column) -> Column:
         steps = F.zip_with(gaps, found, lambda g, m: F.struct(
             F.length(g).alias("gap"), m.alias("value")))
         real = F.filter(steps, lambda s: s["value"].isNotNull())
-        start = F.struct(
-            F.lit(0).alias("at"),
-            F.array().cast("array<struct<start:int,end:int,value:string>>").alias("spans"))
-
-        def step(acc: Column, s: Column) -> Column:
-            begin = acc["at"] + s["gap"]
-            end = begin + F.length(s["value"])
-            return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(
-                begin.alias("start"), end.alias("end"), s["value"].alias("value")))).alias("spans"))
-
-        return F.aggregate(real, start, step, lambda acc: acc["spans"])
+        return let(real, lambda r: let(F.transform(grouped(r), within), shifted))
 
     return let(matches, lay)
 
@@ -144,24 +164,33 @@ def _identifiers(text: Column, spans: Column) -> Column:
     """
     gaps = F.split(text, TOKEN)
     tokens = placed(text, TOKEN)
+    groups = let(spans, lambda own: F.transform(grouped(own), lambda g: F.struct(
+        F.get(g, F.lit(0))["start"].alias("first"),
+        F.array_max(F.transform(g, lambda s: s["end"])).alias("last"), g.alias("spans"))))
 
-    def describe(pieces: Column) -> Column:
+    def describe(known: Column) -> Column:
         def one(token: Column, i: Column) -> Column:
             core = _core(token["value"])
             start = token["start"] + F.greatest(F.instr(token["value"], core) - 1, F.lit(0))
-            seeds = F.filter(spans, lambda s: (s["start"] < token["end"]) & (token["start"] < s["end"]))
+
+            def meets(first: Column, last: Column) -> Column:
+                return (first < token["end"]) & (token["start"] < last)
+
+            seed = F.exists(known["groups"], lambda g: meets(g["first"], g["last"]) & F.exists(
+                g["spans"], lambda s: meets(s["start"], s["end"])))
             return F.struct(
                 start.alias("start"), (start + F.length(core)).alias("end"), core.alias("value"),
-                (F.size(seeds) > 0).alias("seed"),
-                _context_word(F.get(pieces, i), "last").alias("before"),
-                _context_word(F.get(pieces, i + 1), "first").alias("after"))
+                F.coalesce(seed, F.lit(False)).alias("seed"),
+                _context_word(F.get(known["gaps"], i), "last").alias("before"),
+                _context_word(F.get(known["gaps"], i + 1), "first").alias("after"))
 
         return F.filter(
             F.transform(tokens, one),
             lambda t: (t["value"] != "") & (t["seed"] | F.contains(t["value"], F.lit("@")) | (
                 F.length(_digits(t["value"])) >= MIN_DIGITS)))
 
-    return F.when(text.rlike("[0-9@]"), let(gaps, describe))
+    return F.when(text.rlike("[0-9@]"), let(
+        F.struct(gaps.alias("gaps"), groups.alias("groups")), describe))
 
 
 def _patterns(token: str = "token") -> Column:
@@ -247,19 +276,41 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind; overlapping spans become one."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with each span replaced by its kind; overlapping spans become one.
 
-    def step(acc: Column, s: Column) -> Column:
+    Each group of spans rewrites its own stretch, from where the groups before it end.
+    """
+    def step(own: Column, begin: Column, acc: Column, s: Column) -> Column:
         label = F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        kept = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        kept = F.substring(own, acc["at"] - begin + 1, s["start"] - acc["at"])
         return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
             s["end"].alias("at"),
             F.when(s["start"] < acc["at"], acc["out"]).otherwise(
                 F.concat(acc["out"], kept, label)).alias("out")))
 
-    return F.aggregate(spans, start, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    def stretch(g: Column) -> Column:
+        own = F.substring(text, g["begin"] + 1, g["end"] - g["begin"])
+        return let(own, lambda o: F.aggregate(
+            g["spans"], F.struct(g["begin"].alias("at"), F.lit("").alias("out")),
+            lambda acc, s: step(o, g["begin"], acc, s), lambda acc: acc["out"]))
+
+    def reach(g: Column) -> Column:
+        return F.coalesce(F.array_max(F.transform(g, lambda s: s["end"])), F.lit(0))
+
+    def written(groups: Column) -> Column:
+        ends = F.aggregate(
+            groups, F.array(F.lit(0)),
+            lambda acc, g: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), reach(g)))))
+
+        def joined(stops: Column) -> Column:
+            parts = F.transform(groups, lambda g, k: stretch(F.struct(
+                F.get(stops, k).alias("begin"), F.get(stops, k + 1).alias("end"), g.alias("spans"))))
+            rest = F.substring(text, F.element_at(stops, -1) + 1, F.length(text))
+            return F.concat(F.array_join(parts, ""), rest)
+
+        return let(ends, joined)
+
+    return let(spans, lambda s: let(grouped(s), written))
 
 
 def mask(docs: DataFrame, **options) -> DataFrame:

@@ -213,6 +213,16 @@ def test_context_finds_unseen_identifiers(spark):
     assert got[150] == "context:16:27" and got[151] == ""
 
 
+def test_thousands_of_spans_in_one_text(spark):
+    piece = "from 10.0.{k}.7 to a{k}@b.de, é +49 151 {k}1234567 or "
+    text = "".join(piece.format(k=k % 256) for k in range(2000))
+    frame = rows_of(spark, [(1, text, "en", "a")])
+    row = pii.report(frame).first()
+    assert [row.n_ip, row.n_email, row.n_phone] == [2000, 2000, 2000]
+    want = "".join("from <IP> to <EMAIL>, é <PHONE> or " for _ in range(2000))
+    assert pii.mask(frame).first().text == want
+
+
 def test_masking(docs):
     kept = {(r.doc_id, r.text): r for r in pii.mask(docs).collect()}
     texts = {i: t for i, t in kept if i in (2, 8)}
