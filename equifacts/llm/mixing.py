@@ -6,7 +6,8 @@ how much of a last round the mix takes. These exact quotas of blocks are split o
 shards by a binary tree: at each node the left half's share of every source is drawn from the
 multivariate hypergeometric distribution, one source after the other. A shard then takes its
 own stretch of each source's order, so no two shards share a block, and a hash gives the order
-within the shard.
+within the shard. The mix is written shard by shard, a row for each block; the report tells the
+words that each shard takes of a document.
 
 Defined cases: null text counts as empty; null sources are one source, the last; a document
 without words takes no part and takes 0; repeated rows are each their own document; an empty
@@ -19,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from equifacts.llm.common import let, text_of, words_of
+from equifacts.llm.common import GAP, let, partitions, text_of, words_of
 from equifacts.session import stage
 
 WEIGHTS = (5, 2, 1)
@@ -231,38 +232,67 @@ def mix(sizes: DataFrame, shards=SHARDS, block_words=BLOCK_WORDS, seed=SEED, wei
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
-    """A row for each document: its size, its source's size and target, the words taken."""
+    """A row for each document: its size, its source's size and target, the words taken.
+
+    ``shard_0`` and so on tell how many of these words each output shard takes.
+    """
+    shards = options.get("shards", SHARDS)
     sizes = measured(docs, options.get("block_words", BLOCK_WORDS))
     drawn, aims = mix(sizes, **options)
-    taken = drawn.groupBy("row").agg(F.sum("words").alias("taken"))
+    dealt = [f"shard_{k}" for k in range(shards)]
+    taken = drawn.groupBy("row").agg(F.sum("words").alias("taken"), *(
+        F.sum(F.when(F.col("shard") == k, F.col("words"))).alias(name)
+        for k, name in enumerate(dealt)))
     return sizes.alias("s").join(
         aims.alias("a"), F.col("s.source").eqNullSafe(F.col("a.source"))).join(
         taken.alias("t"), F.col("s.row") == F.col("t.row"), "left").select(
         "s.doc_id", "s.size", "a.source_size", "a.target",
-        F.coalesce("t.taken", F.lit(0)).cast("long").alias("taken"))
+        *(F.coalesce(f"t.{name}", F.lit(0)).cast("long").alias(name) for name in ["taken", *dealt]))
+
+
+def _in_shard_order(rows: DataFrame, shards: int) -> DataFrame:
+    """The rows by shard, then slot; a shard is one or more partitions that follow each other.
+
+    Slots are hashes, so their upper bits deal a shard's rows evenly to its partitions.
+    """
+    pieces = math.ceil(partitions(rows.sparkSession) / shards)
+    piece = F.shiftright((F.shiftright("slot", 33) + F.lit(2**30)) * pieces, 31)
+    return rows.repartitionById(
+        pieces * shards, (F.col("shard") * pieces + piece).cast("int")).sortWithinPartitions(
+        "shard", "slot", "row", "block", "round")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix: a row for each round in which blocks of a document are taken.
+    """The blocks of the mix as documents: a row for each taking of a block.
 
-    A document taken whole keeps its text; of one taken in part, the taken words stay, in
-    their order. ``n_chars``, where there is one, is counted anew.
+    Rows are partitioned by output shard, and stand in a shard in the order of their slots. A
+    block has its document's columns and its own stretch of the text, as it is written there;
+    of one taken in part, the first words stay. ``n_chars``, where there is one, is counted anew.
     """
     block_words = options.get("block_words", BLOCK_WORDS)
     rows = stage(docs.select(F.struct("*").alias("kept")).withColumn(
         "row", F.monotonically_increasing_id()), "mix-rows")
     sizes = measured(rows.select("row", "kept.doc_id", "kept.source", "kept.text"), block_words, True)
     drawn, _ = mix(sizes, **options)
-    picks = drawn.groupBy("row", "round").agg(
-        F.sum("words").alias("taken"),
-        F.sort_array(F.collect_list(F.struct("block", "words"))).alias("picks"))
-    picks = picks.join(sizes.select("row", "size"), "row").select(
-        "row", F.when(F.col("taken") < F.col("size"), F.col("picks")).alias("picks"))
-    words = words_of(F.col("kept.text"))
-    part = let(words, lambda w: F.array_join(F.flatten(F.transform("picks", lambda p: F.slice(
-        w, (p["block"] * block_words + 1).cast("int"), p["words"].cast("int")))), " "))
-    out = rows.join(picks, "row").select(F.when(F.col("picks").isNull(), F.col("kept")).otherwise(
-        F.col("kept").withField("text", part)).alias("kept"))
+    picks = drawn.groupBy("row").agg(F.collect_list(
+        F.struct("round", "block", "words", "shard", "slot")).alias("picks"))
+
+    def piece(blocks: Column, pick: Column) -> Column:
+        whole = F.get(blocks, pick["block"].cast("int"))
+        return let(words_of(whole), lambda w: F.when(pick["words"] >= F.size(w), whole).otherwise(
+            F.array_join(F.slice(w, F.lit(1), pick["words"].cast("int")), " ")))
+
+    text = F.col("kept.text")
+    run = r"[^\x20\x09-\x0D]++"
+    stretches = F.regexp_extract_all(text, F.lit(f"{run}(?:{GAP}{run}){{0,{block_words - 1}}}+"), 0)
+    pieces = let(stretches, lambda found: let(
+        F.when(F.size(found) == 1, F.array(text)).otherwise(found),
+        lambda blocks: F.transform("picks", lambda p: p.withField("text", piece(blocks, p)))))
+    out = rows.join(picks, "row").select(
+        "row", F.col("kept").withField("text", F.lit(None).cast("string")).alias("rest"),
+        F.explode(pieces).alias("pick")).select("row", "rest", "pick.*")
+    out = _in_shard_order(out, options.get("shards", SHARDS)).select(
+        F.col("rest").withField("text", F.col("text")).alias("kept"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.select(F.col("kept").withField(

@@ -295,6 +295,36 @@ def test_mixed_documents(docs):
     assert words == taken
 
 
+def test_report_tells_what_each_shard_takes(given_docs):
+    rows = mixing.report(given_docs, shards=4, block_words=16).collect()
+    dealt = [[r[f"shard_{k}"] for k in range(4)] for r in rows]
+    assert [sum(d) for d in dealt] == [r.taken for r in rows]
+    drawn, _ = mixing.mix(mixing.measured(given_docs, 16), shards=4, block_words=16)
+    want = Counter()
+    for r in drawn.collect():
+        want[r.shard] += r.words
+    assert [sum(d[k] for d in dealt) for k in range(4)] == [want[k] for k in range(4)]
+    assert min(want.values()) > 0
+
+
+def test_mixed_rows_stand_in_shard_order(docs, spark):
+    numbered = [(k, i, t, s) for k, (i, t, _, s) in enumerate(TEXTS)]
+    frame = spark.createDataFrame(numbered, "row long, doc_id long, text string, source string")
+    drawn, _ = mixing.mix(mixing.measured(frame, 16, True), shards=3, block_words=16)
+    want = []
+    for r in drawn.collect():
+        _, doc_id, text, _ = numbered[r.row]
+        words = WORD.findall(text)[16 * r.block:16 * r.block + r.words]
+        want.append((r.shard, r.slot, -1 if doc_id is None else doc_id, " ".join(words)))
+    out = mixing.mixed(docs, shards=3, block_words=16)
+    got = [(-1 if r.doc_id is None else r.doc_id, " ".join(WORD.findall(r.text))) for r in out.collect()]
+    assert got == [(i, t) for _, _, i, t in sorted(want)]
+    parts = out.rdd.glom().map(len).collect()
+    assert len(parts) % 3 == 0 and sum(n > 0 for n in parts) >= 3
+    kept = [r.text for r in mixing.mixed(docs).collect() if r.doc_id == 7]
+    assert all("\n\n" in t for t in kept if len(t.split()) == 9)
+
+
 # Packing
 
 def test_best_fit_takes_the_tightest_compatible_bin():
