@@ -1,9 +1,10 @@
 """Personal data by bootstrapped contextual extraction, in built-in functions only.
 
 Four kinds are found by fixed patterns and checks; these base spans are the seeds. Every
-identifier-like token (a run without white space that has a digit or an at sign) stands
-between a word before it and a word after it. Each of these words, and both together, is a
-lexical pattern; patterns and identifiers form a graph over the whole table. Confidence goes
+identifier-like token (a run without white space that has a digit or an at sign, or number
+words in a row) stands between a word before it and a word after it, the nearest that are no
+identifiers. Each of these words, and both together, is a lexical pattern; the text's edge
+is no word, marks are words of their own; patterns and identifiers form a graph over the whole table. Confidence goes
 round it: a pattern's is the mean score of its identifiers, drawn to zero while they are few,
 and an unseen identifier's score is that of its best pattern. After the rounds, patterns of
 high confidence mark the unseen identifiers beside them with kind ``context``.
@@ -29,14 +30,23 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
 
-TOKEN = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]++"
+# Neighbouring number words of a line are one token, so that a spaced identifier is whole.
+_NUMBER = r"(?=[^0-9\x20\x09-\x0D]*+[0-9])[0-9().+/-]++"
+_END = r"(?![^\x20\x09-\x0D])"
+TOKEN = (rf"(?<![^\x20\x09-\x0D])(?:{_NUMBER}{_END}(?:[\x20\x09]++{_NUMBER}{_END})*+"
+         rf"(?:[\x20\x09]++{_NUMBER}[,;:!?]++{_END})?+"
+         r"|(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]++)")
 CORE = r"[0-9A-Za-z](?:.*[0-9A-Za-z])?"
 MIN_DIGITS = 6
 GROUP = 256
 ROUNDS = 3
-PRIOR = 10.0
+# So small that the share of seeds decides, whatever the table's size.
+PRIOR = 1.0
 DAMPING = 0.5
 CONFIDENT = 0.9
+# Signs for a side without a word: the text's edge, or more identifiers than are looked past.
+EDGE, CROWD = "^", "#"
+LOOK_PAST = 4
 
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
@@ -150,17 +160,33 @@ def _core(token: Column) -> Column:
 
 
 def _context_word(text: Column, side: str) -> Column:
-    """Last or first word of a text, lower-cased, without marks round it; else a border sign."""
+    """Last or first word of a text, lower-cased, without marks round it; null if it has none.
+
+    A word of marks only stays as it is.
+    """
     pattern = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$" if side == "last" else r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)"
     near = F.substring(text, -80, 80) if side == "last" else F.substring(text, 1, 80)
-    word = F.regexp_replace(F.lower(F.regexp_extract(near, pattern, 1)), r"^\W+|\W+$", "")
-    return F.when(word == "", F.lit("^")).otherwise(word)
+
+    def bare(whole: Column) -> Column:
+        word = F.regexp_replace(whole, r"^\W+|\W+$", "")
+        return F.when(word != "", word).when(whole != "", whole)
+
+    return let(F.lower(F.regexp_extract(near, pattern, 1)), bare)
+
+
+def _neighbour(words: Column, at: Column, step: int) -> Column:
+    """The word nearest to a token, past identifiers that stand between; else a sign."""
+    near = [F.get(words, at + k * step) for k in range(LOOK_PAST)]
+    end = at + (LOOK_PAST - 1) * step
+    edge = (end <= 0) if step < 0 else (end >= F.size(words) - 1)
+    return F.coalesce(*near, F.when(edge, F.lit(EDGE)).otherwise(F.lit(CROWD)))
 
 
 def _identifiers(text: Column, spans: Column) -> Column:
     """Identifier-like tokens with their place, neighbours, and whether a seed lies in them.
 
-    A token counts if it has six digits or an at sign, or overlaps a seed.
+    A token counts if it has six digits, in one word or several, or an at sign, or overlaps a
+    seed.
     """
     gaps = F.split(text, TOKEN)
     tokens = placed(text, TOKEN)
@@ -181,8 +207,8 @@ def _identifiers(text: Column, spans: Column) -> Column:
             return F.struct(
                 start.alias("start"), (start + F.length(core)).alias("end"), core.alias("value"),
                 F.coalesce(seed, F.lit(False)).alias("seed"),
-                _context_word(F.get(known["gaps"], i), "last").alias("before"),
-                _context_word(F.get(known["gaps"], i + 1), "first").alias("after"))
+                _neighbour(known["lasts"], i, -1).alias("before"),
+                _neighbour(known["firsts"], i + 1, 1).alias("after"))
 
         return F.filter(
             F.transform(tokens, one),
@@ -190,15 +216,20 @@ def _identifiers(text: Column, spans: Column) -> Column:
                 F.length(_digits(t["value"])) >= MIN_DIGITS)))
 
     return F.when(text.rlike("[0-9@]"), let(
-        F.struct(gaps.alias("gaps"), groups.alias("groups")), describe))
+        let(gaps, lambda g: F.struct(
+            F.transform(g, lambda x: _context_word(x, "last")).alias("lasts"),
+            F.transform(g, lambda x: _context_word(x, "first")).alias("firsts"),
+            groups.alias("groups"))), describe))
 
 
 def _patterns(token: str = "token") -> Column:
-    """The three lexical patterns a token stands in."""
+    """The up to three lexical patterns a token stands in; signs alone are none."""
     before, after = F.col(f"{token}.before"), F.col(f"{token}.after")
-    return F.array(
-        F.concat(before, F.lit(" _")), F.concat(F.lit("_ "), after),
-        F.concat(before, F.lit(" _ "), after))
+    worded = [~side.isin(EDGE, CROWD) for side in (before, after)]
+    return F.array_compact(F.array(
+        F.when(worded[0], F.concat(before, F.lit(" _"))),
+        F.when(worded[1], F.concat(F.lit("_ "), after)),
+        F.when(worded[0] | worded[1], F.concat(before, F.lit(" _ "), after))))
 
 
 def induced(edges: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) -> DataFrame:

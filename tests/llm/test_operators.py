@@ -213,6 +213,26 @@ def test_context_finds_unseen_identifiers(spark):
     assert got[150] == "context:16:27" and got[151] == ""
 
 
+def test_context_needs_no_large_table(spark):
+    seeds = [f"write to caller u{k}@site.org today please" for k in range(30)]
+    seeds += [f"{'abcdefghijkl'[k] * 4} = v{k}@site.org" for k in range(12)]
+    more = ["write to caller ID-99812345 today please", "write to caller 5 82 (61) 99 43, today please",
+            "write to caller ID-99812345 ID-99812399 today please", "other words end in 99812388",
+            "zzzz | 99812377"]
+    texts = [(k, t, None, None) for k, t in enumerate([*seeds, *more])]
+    got = {r.doc_id: r.spans for r in pii.report(rows_of(spark, texts)).collect()}
+    assert [got[42 + k] for k in range(5)] == [
+        "context:16:27", "context:16:31", "context:16:27,context:28:39", "", ""]
+
+
+def test_edges_are_no_context(spark):
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "klmnp"]
+    texts = [(k, f"{w} u{k}@site.org", None, None) for k, w in enumerate(words)]
+    texts += [(200, "xyz 99812345", None, None)]
+    got = {r.doc_id: r.spans for r in pii.report(rows_of(spark, texts)).collect()}
+    assert got[200] == "" and got[0] == "email:4:15"
+
+
 def test_thousands_of_spans_in_one_text(spark):
     piece = "from 10.0.{k}.7 to a{k}@b.de, é +49 151 {k}1234567 or "
     text = "".join(piece.format(k=k % 256) for k in range(2000))
