@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equifacts.llm.common import text_of, words_of
+from equifacts.llm.jaccard_join import classes, text_key
 from equifacts.session import stage
 
 CAPACITY = 2048
@@ -103,3 +104,17 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int =
     spread = F.when(F.col("doc_id").isNull(), F.xxhash64("row")).otherwise(own)
     return sized.withColumn("shard", F.pmod(spread, F.lit(shards))).groupBy("shard").applyInPandas(
         _pack(capacity), RESULT)
+
+
+def pack_apart(docs: DataFrame, **options) -> DataFrame:
+    """``pack_documents`` with near copies kept apart: a cluster is a class of near copies.
+
+    A class is named by its smallest text key, so that bins do not depend on how texts were
+    numbered.
+    """
+    _, texts = classes(docs)
+    names = texts.groupBy("root").agg(F.min("text_key").alias("class_key"))
+    known = stage(texts.join(names, "root").select("text_key", "class_key"), "pack-classes")
+    keyed = docs.select("doc_id", "source", "text", text_key(text_of()).alias("text_key"))
+    return pack_documents(
+        keyed.join(known, "text_key"), cluster=F.hex("class_key"), **options)

@@ -9,7 +9,7 @@ SQL: dict[str, str] = {}
 
 
 def op1_best_fit_packing(spark, folder):
-    return packing.pack_documents(read(spark, folder, "documents"))
+    return packing.pack_apart(read(spark, folder, "documents"))
 
 
 def op2_pii(spark, folder):

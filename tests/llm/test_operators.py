@@ -386,6 +386,17 @@ def test_packing_places_every_word_once(request, table):
         assert len({source[r.doc_id] for r in held}) == len(held)
 
 
+def test_no_bin_holds_near_copies(spark, tmp_path):
+    base = [f"w{k}" for k in range(60)]
+    texts = [(n, " ".join([*base, f"end{n}"]), "en", f"s{n}") for n in range(8)]
+    texts += [(20 + n, " ".join(f"x{n}y{k}" for k in range(60)), "en", f"t{n}") for n in range(8)]
+    rows_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op1_best_fit_packing"](spark, str(tmp_path)).collect()
+    assert len(rows) == 16 and sum(r.n_words for r in rows) == 8 * 61 + 8 * 60
+    assert len({r.bin_id for r in rows if r.doc_id < 20}) == 8
+    assert len({r.bin_id for r in rows if r.doc_id >= 20}) == 1
+
+
 # Fingerprints
 
 def brute_winnow(text, gram, window):
