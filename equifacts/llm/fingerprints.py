@@ -2,7 +2,7 @@
 
 Every run of ``GRAM`` code points has a rolling hash; of every ``WINDOW`` consecutive hashes
 the smallest is kept, the rightmost one of equals, with its position. Two texts that share a
-run of at least ``WINDOW + GRAM - 1`` code points share a kept hash.
+run of at least ``WINDOW + GRAM - 1`` code points (21) share a kept hash.
 
 Defined cases: a null text counts as empty; an empty text has an empty fingerprint; a text
 shorter than a gram is one gram; texts of fewer grams than a window keep one hash; two empty
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from equifacts.llm.common import partitions, text_of
 
-GRAM = 25
-WINDOW = 64
+GRAM = 10
+WINDOW = 12
 EDITED_PART = 4
 
 _BASE = 0x9E3779B97F4A7C15

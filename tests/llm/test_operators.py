@@ -436,6 +436,14 @@ def test_edited_texts(request, table):
         assert next(r for r in rows if r.doc_id == 3).near_next == 1
 
 
+def test_short_texts_share_hashes_with_their_edits(spark):
+    draw = random.Random(8)
+    texts = [(k, "".join(draw.choices("abcdefghijklmnop ", k=80)), "en", "a") for k in range(60)]
+    rows = fingerprints.report(rows_of(spark, texts)).collect()
+    assert all(r.near_edited > 0 for r in rows)
+    assert sum(r.near_edited for r in rows) > 0.4 * len(rows)
+
+
 def test_each_row_has_a_next_one_however_many_buckets(spark):
     ids = [2**53 + 1, 2**53 + 3, 2**53 + 2, -4, None, None, 7, 7]
     frame = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string")
