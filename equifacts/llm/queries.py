@@ -2,7 +2,7 @@
 
 from equifacts.llm import (
     fingerprints, jaccard_join, language_id, licenses, mixing, packing, pii, quality_rules,
-    secrets, toxicity)
+    secrets, simhash, toxicity)
 from equifacts.llm.common import read
 
 SQL: dict[str, str] = {}
@@ -48,6 +48,10 @@ def op10_license_scan(spark, folder):
     return licenses.report(read(spark, folder, "documents"))
 
 
+def op11_simhash(spark, folder):
+    return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_pii, op3_toxicity, op4_secret_scan, op5_language_id, op6_mixing, op7_quality_rules,
-    op8_jaccard_join, op9_fingerprints, op10_license_scan)}
+    op8_jaccard_join, op9_fingerprints, op10_license_scan, op11_simhash)}
