@@ -1,11 +1,11 @@
 """Each operator, with its production parameters, on its whole table."""
 
 from equifacts.llm import (
-    fingerprints, jaccard_join, language_id, licenses, mixing, packing, pii, quality_rules,
+    conversation_sql, conversations, fingerprints, jaccard_join, language_id, licenses, mixing, packing, pii, quality_rules,
     secrets, simhash, toxicity)
 from equifacts.llm.common import read
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_conversation_repair": conversation_sql.SQL}
 
 
 def op1_best_fit_packing(spark, folder):
@@ -52,6 +52,11 @@ def op11_simhash(spark, folder):
     return simhash.near_duplicates(read(spark, folder, "documents"))
 
 
+def op12_conversation_repair(spark, folder):
+    return conversations.audit(conversations.damaged(read(spark, folder, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_pii, op3_toxicity, op4_secret_scan, op5_language_id, op6_mixing, op7_quality_rules,
-    op8_jaccard_join, op9_fingerprints, op10_license_scan, op11_simhash)}
+    op8_jaccard_join, op9_fingerprints, op10_license_scan, op11_simhash,
+    op12_conversation_repair)}
