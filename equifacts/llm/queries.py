@@ -2,7 +2,8 @@
 
 from equifacts.llm import (
     conversation_sql, conversations, fingerprints, jaccard_join, language_id, licenses, mixing, packing, pii, quality_rules,
-    secrets, simhash, toxicity)
+    secrets, simhash, tokenizer_alignment,
+    toxicity)
 from equifacts.llm.common import read
 
 SQL: dict[str, str] = {"op12_conversation_repair": conversation_sql.SQL}
@@ -56,7 +57,11 @@ def op12_conversation_repair(spark, folder):
     return conversations.audit(conversations.damaged(read(spark, folder, "conversations")))
 
 
+def op13_tokenizer_alignment(spark, folder):
+    return tokenizer_alignment.report(read(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_pii, op3_toxicity, op4_secret_scan, op5_language_id, op6_mixing, op7_quality_rules,
     op8_jaccard_join, op9_fingerprints, op10_license_scan, op11_simhash,
-    op12_conversation_repair)}
+    op12_conversation_repair, op13_tokenizer_alignment)}
