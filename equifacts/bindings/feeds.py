@@ -154,9 +154,9 @@ def asked_suppliers(d: Data) -> DataFrame:
 
 
 def suggest_bodies(d: Data) -> DataFrame:
-    """A search answer per supplier: eight customers with neighbouring keys."""
+    """A search answer per supplier: fifteen customers with neighbouring keys."""
     offered = asked_suppliers(d).select(
-        "nse_symbol", "s_suppkey", F.posexplode(F.sequence(F.lit(0), F.lit(14), F.lit(2))).alias("pos", "step")
+        "nse_symbol", "s_suppkey", F.posexplode(F.sequence(F.lit(0), F.lit(14))).alias("pos", "step")
     ).withColumn("c_custkey", F.col("s_suppkey") * 15 + F.col("step"))
     both = offered.join(d.customer, "c_custkey")
     token = F.when(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD"), F.col("nse_symbol")).otherwise("OTHER")
@@ -166,7 +166,7 @@ def suggest_bodies(d: Data) -> DataFrame:
         sc_id=F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("S"), "c_custkey")),
         link_src=F.concat(F.lit("http://x/"), "c_custkey"),
         name=F.col("c_name"), sc_sector=F.col("c_mktsegment"), pdt_dis_nm=display)
-    # Eight entries per supplier at most, by construction.
+    # Fifteen entries per supplier at most, by construction.
     feeds = both.groupBy("nse_symbol").agg(
         F.sort_array(F.collect_list(F.struct("pos", entry.alias("entry")))).alias("entries"))
     return feeds.select(
@@ -179,7 +179,7 @@ WITH asked AS (
     'IN' || (s_suppkey * 15 + s_nationkey % 16) || 'X' END AS isin FROM supplier),
 offered AS (
   SELECT a.s_name, a.isin, i.step, c.*, 'IN' || c_custkey || 'X' AS own_isin
-  FROM asked a, (SELECT unnest([0, 2, 4, 6, 8, 10, 12, 14]) AS step) i, customer c
+  FROM asked a, (SELECT unnest(range(15)) AS step) i, customer c
   WHERE c.c_custkey = a.s_suppkey * 15 + i.step),
 hits AS (
   SELECT *, CASE WHEN isin <> '' AND own_isin = isin THEN 1

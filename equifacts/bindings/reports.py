@@ -20,7 +20,6 @@ from equifacts.bindings.upserts import (
 from equifacts.functions.text import stamp_text
 from equifacts.operators.merge import explode_members
 from equifacts.operators.quality import union_all
-from equifacts.operators.upsert import upsert
 from equifacts.plans import reports
 from equifacts.plans.company_batch import Landed, run_batch, run_reports
 from equifacts.plans.universe import merged_constituents
@@ -262,12 +261,8 @@ def stored_upsert(d: Data) -> DataFrame:
     tables.create()
     first = stored_companies(d)
     tables.publish("firms", first, 1, tables.touched("firms", first))
-    batch = incoming_companies(d)
-    touched = tables.touched("firms", batch)
-    result = upsert(
-        tables.read("firms", touched), batch, ["nse_symbol"], FIELDS, RUN_TS,
-        stamps={"updated_at": "on_change"})
-    tables.publish("firms", result, 2, touched)
+    tables.apply({"firms": tables.upserted(
+        "firms", incoming_companies(d), FIELDS, RUN_TS, stamps={"updated_at": "on_change"})})
     state = tables.read("firms").withColumn("updated_at", stamp_text(F.col("updated_at")))
     return state.join(tables.changes("firms", 2).drop("changed"), "nse_symbol", "left")
 

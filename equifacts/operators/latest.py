@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equifacts.functions.text import period_month, period_year
+from equifacts.operators.merge import fold_rows
 
 
 def with_period(df: DataFrame, label: str = "period_label") -> DataFrame:
@@ -42,3 +43,20 @@ def order_periods(df: DataFrame, name: str, key: str, label: str = "period_label
     """By company name, the key standing in for an empty one, then newest first."""
     shown = F.coalesce(F.nullif(F.col(name), F.lit("")), F.col(key).cast("string"))
     return df.orderBy(shown, *newest_first(label), F.asc(key))
+
+
+def merge_latest(state: DataFrame, batch: DataFrame, keys: list[str], n: int, values: list[str],
+                 order: list[str], label: str = "period_label") -> DataFrame:
+    """The ``n`` newest rows per key of the batch's keys, from those known so far and the batch.
+
+    ``state`` holds what this gave before: at most ``n`` rows a key, whatever the history. The
+    label alone says how new a row is, so a row that once fell out never comes back, and a late or
+    restated one needs no other than these. A restated row's filled values win over the known
+    ones; in the batch, later rows in ``order`` do.
+    """
+    mine = state.join(batch.select(*keys).distinct(), keys, "left_semi")
+    known = mine.select(*keys, label, *values, F.lit(0).alias("_late"), *[
+        F.lit(None).cast(batch.schema[c].dataType).alias(f"_{c}") for c in order])
+    given = batch.select(*keys, label, *values, F.lit(1).alias("_late"), *[F.col(c).alias(f"_{c}") for c in order])
+    folded = fold_rows(known.unionByName(given), [*keys, label], values, ["_late", *[f"_{c}" for c in order]])
+    return latest_periods(folded, keys, n, label).drop("_year", "_month", "period_rank")

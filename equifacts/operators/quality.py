@@ -1,5 +1,6 @@
 """Errors, missing fields and integrity violations as tables."""
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -84,3 +85,35 @@ def reference_rule(child: DataFrame, key: str, parent: DataFrame, parent_key: st
 def unknown_keys(requested: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Requested keys that are not known."""
     return requested.select(key).distinct().join(known.select(key), key, "left_anti")
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What rows of a table must keep: a condition, or a parent with their key.
+
+    ``holds`` is an SQL condition on the table's columns; a row of which it is not true breaks the
+    rule. With ``parent``, rows whose ``key`` no row of ``parent`` has as ``parent_key`` break it.
+    """
+
+    name: str
+    table: str
+    holds: str | None = None
+    key: str | None = None
+    parent: str | None = None
+    parent_key: str | None = None
+
+
+def broken_rules(rows: DataFrame, rules: list[Rule], parents: dict[str, DataFrame], op: str,
+                 delete: str) -> DataFrame:
+    """The rows with ``broken``, the names of the rules they break; deletions break none.
+
+    Conditions are told in one pass; each parent costs one join on the key.
+    """
+    broken = [F.when(~F.coalesce(F.expr(r.holds), F.lit(False)), F.lit(r.name)) for r in rules if r.holds]
+    for n, rule in enumerate(r for r in rules if r.parent):
+        known = parents[rule.parent].select(F.col(rule.parent_key).alias(rule.key), F.lit(True).alias(f"_has_{n}"))
+        rows = rows.join(known, rule.key, "left")
+        broken.append(F.when(F.col(f"_has_{n}").isNull(), F.lit(rule.name)))
+    names = F.array_compact(F.array(*broken))
+    marked = rows.withColumn("broken", F.when(F.col(op) == delete, F.array().cast("array<string>")).otherwise(names))
+    return marked.drop(*[c for c in marked.columns if c.startswith("_has_")])

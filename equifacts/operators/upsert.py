@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from equifacts.operators.merge import fold_rows
 
-OP, CHANGED = "_op", "_changed"
+OP, CHANGED, DIRTY = "_op", "_changed", "_dirty"
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], values: list[str], run_ts,
@@ -22,7 +22,8 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], values: list
     ``stamps`` maps a time column to when it is set: "created", "on_change", "always"
     (for every row in the batch), or the name of a boolean column of ``incoming``.
     Further columns of ``target`` are carried along.
-    ``_op`` is "insert", "update", "same" (in the batch, nothing new) or "keep".
+    ``_op`` is "insert", "update", "same" (in the batch, nothing new) or "keep"; ``_dirty`` tells
+    whether any column differs from what is stored, a stamp included.
     """
     stamps = stamps or {}
     flags = [s for s in stamps.values() if s not in ("created", "on_change", "always")]
@@ -57,12 +58,16 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], values: list
 
     def stamp(column, when):
         due = fires.get(when, F.coalesce(F.col(f"_flag_{when}"), F.lit(False)) & given)
-        return F.when(due, now).otherwise(F.col(f"_old_{column}")).alias(column)
+        return F.when(due, now).otherwise(F.col(f"_old_{column}"))
 
-    return marked.select(
+    stamped = marked.withColumns({f"_at_{c}": stamp(c, w) for c, w in stamps.items()})
+    dirty = op.isin("insert", "update")
+    for c in stamps:
+        dirty = dirty | ~F.col(f"_at_{c}").eqNullSafe(F.col(f"_old_{c}"))
+    return stamped.select(
         *keys, *[F.coalesce(f"_new_{c}", f"_old_{c}").alias(c) for c in values],
         *[F.col(f"_old_{c}").alias(c) for c in carried],
-        *[stamp(c, w) for c, w in stamps.items()], OP, CHANGED)
+        *[F.col(f"_at_{c}").alias(c) for c in stamps], OP, CHANGED, dirty.alias(DIRTY))
 
 
 def has_keys(keys: list[str]):
@@ -74,7 +79,7 @@ def has_keys(keys: list[str]):
 
 
 def rows_of(result: DataFrame) -> DataFrame:
-    return result.drop(OP, CHANGED)
+    return result.drop(OP, CHANGED, DIRTY)
 
 
 def change_log(result: DataFrame, keys: list[str]) -> DataFrame:

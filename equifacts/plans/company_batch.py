@@ -23,10 +23,9 @@ from equifacts.operators.refresh import (
     run_scope,
     unfinished,
 )
-from equifacts.operators.replace import replace_given, replace_processed
 from equifacts.operators.resolve import pick_identity
-from equifacts.operators.upsert import upsert
 from equifacts.plans import reports, runs
+from equifacts.plans.progress import Progress
 from equifacts.plans.universe import INDUSTRIES, discover
 from equifacts.schemas import PRICE_FIELDS, PERIOD_FIELDS, PROFILE_FIELDS, REPORTED_FIELDS
 from equifacts.session import stage
@@ -110,46 +109,50 @@ def landed_state(rows: DataFrame, landed: DataFrame, keys: list[str]) -> DataFra
     return rows.join(response, keys, "left").withColumn("reason", reason).drop("_in", "error")
 
 
-def resolve_stage(todo: DataFrame, suggest: DataFrame, run_ts) -> tuple[DataFrame, DataFrame]:
+def resolve_stage(todo: DataFrame, suggest: DataFrame, run_ts,
+                  progress: Progress) -> tuple[DataFrame, DataFrame]:
     """Resolved companies, and an error row for each of the others."""
-    seen = landed_state(todo, suggest, ["nse_symbol"])
-    bad = F.when(F.col("reason").isNull() & payload.parse(F.col("body")).isNull(),
-                 "Payload is not JSON")
-    checked = stage(
-        seen.withColumn("reason", F.coalesce("reason", bad)), "suggest")
-    identities = pick_identity(
-        suggest_entries(checked.where(F.col("reason").isNull()), ["nse_symbol", "isin"]))
-    resolved = stage(
-        checked.drop("body").join(identities, "nse_symbol", "left").withColumn(
-            "reason", F.coalesce(
-                "reason", F.when(F.col("mc_sc_id").isNull(), F.lit(NO_MATCH)))), "resolved")
+    def build(rows: DataFrame) -> DataFrame:
+        seen = landed_state(rows, suggest, ["nse_symbol"])
+        bad = F.when(F.col("reason").isNull() & payload.parse(F.col("body")).isNull(),
+                     "Payload is not JSON")
+        checked = stage(seen.withColumn("reason", F.coalesce("reason", bad)), "suggest")
+        identities = pick_identity(
+            suggest_entries(checked.where(F.col("reason").isNull()), ["nse_symbol", "isin"]))
+        return checked.drop("body").join(identities, "nse_symbol", "left").withColumn(
+            "reason", F.coalesce("reason", F.when(F.col("mc_sc_id").isNull(), F.lit(NO_MATCH))))
+
     good, errors = quality.split_errors(
-        resolved, "nse_symbol", "resolve", F.col("reason"), run_ts, "company_name")
+        progress.stage("resolved", todo, "nse_symbol", build), "nse_symbol", "resolve", F.col("reason"),
+        run_ts, "company_name")
     return good.drop("reason"), errors
 
 
-def price_stage(resolved: DataFrame, pricefeed: DataFrame,
-                run_ts) -> tuple[DataFrame, DataFrame]:
+def price_stage(resolved: DataFrame, pricefeed: DataFrame, run_ts,
+                progress: Progress) -> tuple[DataFrame, DataFrame]:
     """Resolved companies with a filled price feed, and an error row for the others."""
-    seen = landed_state(resolved, pricefeed, ["nse_symbol"])
-    columns = [c for c in seen.columns if c != "body"]
-    priced = price_rows(seen, columns)
-    reason = F.coalesce("reason", F.when(F.col("feed_state") == "invalid", BAD_PAYLOAD).when(
-        F.col("feed_state") == "empty", EMPTY_FEED))
-    staged = stage(priced.withColumn("reason", reason), "priced")
+    def build(rows: DataFrame) -> DataFrame:
+        seen = landed_state(rows, pricefeed, ["nse_symbol"])
+        priced = price_rows(seen, [c for c in seen.columns if c != "body"])
+        return priced.withColumn("reason", F.coalesce("reason", F.when(
+            F.col("feed_state") == "invalid", BAD_PAYLOAD).when(F.col("feed_state") == "empty", EMPTY_FEED)))
+
     good, errors = quality.split_errors(
-        staged, "nse_symbol", "pricefeed", F.col("reason"), run_ts)
+        progress.stage("priced", resolved, "nse_symbol", build), "nse_symbol", "pricefeed", F.col("reason"), run_ts)
     return good.drop("reason", "feed_state"), errors
 
 
-def results_stage(good: DataFrame, results: DataFrame,
-                  run_ts) -> tuple[DataFrame, DataFrame, DataFrame]:
+def results_stage(good: DataFrame, results: DataFrame, run_ts,
+                  progress: Progress) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Period rows of both kinds, missing-feed names, and non-fatal errors."""
-    wanted = good.select(
-        "nse_symbol", F.explode(F.array(*[F.lit(k) for k in RESULT_KINDS])).alias("kind"))
-    seen = landed_state(wanted, results, ["nse_symbol", "kind"])
-    # One pass over the feeds; states and period rows are read from the small extract.
-    extract = stage(feed_entries(seen, ["nse_symbol", "kind", "reason"]), "results").withColumn(
+    def build(rows: DataFrame) -> DataFrame:
+        # One pass over the feeds; states and period rows are read from the small extract.
+        wanted = rows.select(
+            "nse_symbol", F.explode(F.array(*[F.lit(k) for k in RESULT_KINDS])).alias("kind"))
+        seen = landed_state(wanted, results, ["nse_symbol", "kind"])
+        return feed_entries(seen, ["nse_symbol", "kind", "reason"])
+
+    extract = progress.stage("results", good, "nse_symbol", build).withColumn(
         "reason", F.coalesce("reason", F.when(~F.col("readable"), BAD_PAYLOAD)))
     states = extract.where(F.coalesce("pos", F.lit(0)) == 0).select("nse_symbol", "kind", "reason")
     rows = typed_results(extract.where(F.col("reason").isNull()))
@@ -177,18 +180,23 @@ def unsupported_kinds(good: DataFrame, results: DataFrame, run_ts) -> DataFrame:
     return rows.withColumn("stage", F.regexp_extract("message", ": (.*)$", 1))
 
 
-def page_stage(good: DataFrame, pages: DataFrame, stored: DataFrame, run_ts,
-               ttl_days: float) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def page_stage(good: DataFrame, pages: DataFrame, stored: DataFrame, run_ts, ttl_days: float,
+               progress: Progress) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Freshness of every company, fields and holdings of the stale ones' pages, errors."""
-    marked = stage(mark_stale(
-        good.select("nse_symbol"), stored, "nse_symbol", "static_updated_at",
-        "business_summary", run_ts, ttl_days), "freshness")
-    seen = landed_state(marked.where("stale").select("nse_symbol"), pages, ["nse_symbol"])
-    with_holdings = seen.withColumn("holdings", holdings_json(F.col("body")))
-    fields = extract_pages(with_holdings, ["nse_symbol", "reason", "holdings"]).withColumnsRenamed(
-        {"bse_symbol": "page_bse_symbol", "isin": "page_isin"})
-    # One pass over the pages; what the later steps read is the small extract.
-    extract = stage(with_topics(fields, "business_summary"), "pages")
+    def build(rows: DataFrame) -> DataFrame:
+        # One pass over the pages; what the later steps read is the small extract.
+        marked = mark_stale(rows, stored, "nse_symbol", "static_updated_at", "business_summary", run_ts, ttl_days)
+        due = stage(marked, "freshness")
+        seen = landed_state(due.where("stale").select("nse_symbol"), pages, ["nse_symbol"])
+        with_holdings = seen.withColumn("holdings", holdings_json(F.col("body")))
+        fields = extract_pages(with_holdings, ["nse_symbol", "reason", "holdings"]).withColumnsRenamed(
+            {"bse_symbol": "page_bse_symbol", "isin": "page_isin"})
+        read = with_topics(fields, "business_summary")
+        return due.select("nse_symbol", "age_days", "stale").join(read, "nse_symbol", "left")
+
+    known = progress.stage("pages", good.select("nse_symbol"), "nse_symbol", build)
+    marked = known.select("nse_symbol", "age_days", "stale")
+    extract = known.where("stale").drop("age_days", "stale")
     errors = quality.error_rows(extract, "nse_symbol", "profile", F.col("reason"), run_ts)
     readable = extract.where(F.col("reason").isNull()).drop("reason")
     holdings = holding_rows(readable, ["nse_symbol"], "holdings")
@@ -199,7 +207,7 @@ def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str,
               run_ts, symbols: list[str] | None = None, limit: int | None = None,
               industries: list[str] = INDUSTRIES, ttl_days: float = TTL_DAYS,
               fresh: bool = False, since=None, until=None,
-              stamps: dict[str, str] = COMPANY_STAMPS) -> RunResult:
+              stamps: dict[str, str] = COMPANY_STAMPS, waves: int = 1) -> RunResult:
     """Process everything that is due and publish it as the next version of each table.
 
     Only responses that landed from ``since`` to ``until`` belong to the run; all of them if
@@ -207,14 +215,15 @@ def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str,
 
     A record of the run stands from its start on and ends as ``completed`` or ``interrupted``.
     The ledger is written last and every record is replaced by run, so a run repeated under
-    its id after a failure leaves the same tables and records as one that never failed.
+    its id after a failure leaves the same tables and records as one that never failed. Each stage
+    is built in so many ``waves`` of buckets; a repeated run builds the waves that are not listed.
     """
     tables.create()
     started = runs.started_record(registry.sparkSession, started_at)
     tables.replace_run("scrape_runs", run_id, started)
     try:
         return process(tables, landed_between(landed, since, until), registry, run_id, started_at,
-                       run_ts, symbols, limit, industries, ttl_days, fresh, stamps)
+                       run_ts, symbols, limit, industries, ttl_days, fresh, stamps, waves)
     except BaseException:
         tables.replace_run(
             "scrape_runs", run_id, started.withColumn("notes", F.lit("interrupted")))
@@ -222,7 +231,7 @@ def run_batch(tables: Tables, landed: Landed, registry: DataFrame, run_id: str,
 
 
 def process(tables: Tables, landed: Landed, registry: DataFrame, run_id: str, started_at, run_ts,
-            symbols, limit, industries, ttl_days, fresh, stamps) -> RunResult:
+            symbols, limit, industries, ttl_days, fresh, stamps, waves) -> RunResult:
     """The run between its start and its end record."""
     whole_sector = [r.index_key for r in registry.where("whole_sector").collect()]
     universe = stage(discover(
@@ -230,11 +239,12 @@ def process(tables: Tables, landed: Landed, registry: DataFrame, run_id: str, st
     done = stage(finished(tables.read("ledger"), run_id, fresh).select("nse_symbol"), "done")
     todo = unfinished(universe, done, "nse_symbol")
 
-    resolved, resolve_errors = resolve_stage(todo, landed.suggest, run_ts)
-    good, price_errors = price_stage(resolved, landed.pricefeed, run_ts)
-    periods, absent, result_errors = results_stage(good, landed.results, run_ts)
+    progress = Progress(tables.spark, tables.root, run_id, tables.buckets, waves, fresh)
+    resolved, resolve_errors = resolve_stage(todo, landed.suggest, run_ts, progress)
+    good, price_errors = price_stage(resolved, landed.pricefeed, run_ts, progress)
+    periods, absent, result_errors = results_stage(good, landed.results, run_ts, progress)
     marked, pages, holdings, page_errors = page_stage(
-        good, landed.pages, tables.read("companies"), run_ts, ttl_days)
+        good, landed.pages, tables.read("companies"), run_ts, ttl_days, progress)
     failures = quality.union_all([resolve_errors, price_errors])
     unexpected = unaccounted(todo, good, failures, run_ts)
 
@@ -288,34 +298,24 @@ def unaccounted(todo: DataFrame, good: DataFrame, failures: DataFrame, run_ts) -
 
 def publish_batch(tables: Tables, batch, good, periods, holdings, memberships,
                   run_ts, stamps=COMPANY_STAMPS) -> dict[str, int]:
-    """Upsert or replace the touched buckets of each table; gives the version of each."""
-    def merge(name, incoming, values, **how):
-        keys, touched = tables.keys[name], tables.touched(name, incoming)
-        result = upsert(tables.read(name, touched), incoming, keys, values, run_ts, **how)
-        return name, result, touched
-
-    def replace(name, incoming, processed):
-        stamped = incoming.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
-        touched = tables.touched(name, incoming if processed is None else processed)
-        stored = tables.read(name, touched)
-        fresh = replace_given(stored, stamped, "nse_symbol") if processed is None \
-            else replace_processed(stored, stamped, processed, "nse_symbol")
-        return name, fresh, touched
+    """Upsert or replace in each table, in one commit; gives the version of each.
+
+    A table that nothing changes is not written.
+    """
+    def stamped(rows):
+        return rows.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
 
     on_change = {"updated_at": "on_change"}
-    plans = [
-        merge("companies", batch, PROFILE_FIELDS, stamps=stamps),
-        merge("price_snapshot", good.select("nse_symbol", *PRICE_FIELDS), PRICE_FIELDS,
-              insert_reports="all", stamps=on_change),
-        merge("period_results", periods, PERIOD_FIELDS, order=["pos"], stamps=on_change),
-        replace("company_indices", memberships, good),
-        replace("shareholding", holdings, None),
-    ]
-    versions = {}
-    for name, result, touched in plans:
-        versions[name] = tables.next_version(name)
-        tables.publish(name, result, versions[name], touched)
-    return versions
+    return tables.apply({
+        "companies": tables.upserted("companies", batch, PROFILE_FIELDS, run_ts, stamps=stamps),
+        "price_snapshot": tables.upserted(
+            "price_snapshot", good.select("nse_symbol", *PRICE_FIELDS), PRICE_FIELDS, run_ts,
+            insert_reports="all", stamps=on_change),
+        "period_results": tables.upserted(
+            "period_results", periods, PERIOD_FIELDS, run_ts, order=["pos"], stamps=on_change),
+        "company_indices": tables.replaced("company_indices", stamped(memberships), good),
+        "shareholding": tables.replaced("shareholding", stamped(holdings)),
+    })
 
 
 def seen_symbols(constituents: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key in a join even when the aggregate after it then needs a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join on several key columns takes a side that is dealt by one of them as it is.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Above this size the JVM leaves a generated method uncompiled. Wide extractions reach
     # it; they run faster as several smaller methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -1,9 +1,10 @@
 """Processing of newly landed files, each once, into a stored table."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equifacts.operators.upsert import upsert
 from equifacts.sources.tables import Tables
 
 
@@ -14,31 +15,36 @@ def landed_stream(spark: SparkSession, folder: str, schema, files_per_batch: int
     return reader.parquet(folder)
 
 
-def upsert_landed(stream: DataFrame, tables: Tables, name: str, values: list[str],
-                  order: list[str], checkpoint: str, prepare=None):
-    """Upsert every landed file once and stop when all are taken in.
+def land(stream: DataFrame, tables: Tables, plan: Callable[[DataFrame], dict[str, DataFrame]], checkpoint: str):
+    """Take every landed file in once, into several tables at once, and stop when all are in.
 
-    Each micro-batch becomes the table's next version, listed with the stream's id and the
-    epoch. The id lives in the checkpoint: a micro-batch replayed after a failure finds
-    itself listed and is skipped, while a new checkpoint or another stream is a new writer.
+    ``plan`` turns a micro-batch into the changes of each table (``Tables.upserted``, ``replaced``,
+    ``removed``). A micro-batch is one commit over all its tables, listed with the stream's id and
+    the epoch. The id lives in the checkpoint: a micro-batch replayed after a failure finds itself
+    listed and is skipped, or finds nothing of it listed and is done again as a whole, while a new
+    checkpoint or another stream is a new writer.
     """
-    keys = tables.keys[name]
-
     def take(batch: DataFrame, epoch: int) -> None:
-        context = batch.sparkSession.sparkContext
-        writer = context.getLocalProperty("sql.streaming.queryId")
-        if tables.has_epoch(name, writer, epoch):
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if tables.has_epoch(writer, epoch):
             return
-        rows = (prepare(batch) if prepare else batch).persist()
+        rows = batch.persist()
         try:
-            touched = tables.touched(name, rows)
-            result = upsert(
-                tables.read(name, touched), rows, keys, values, F.current_timestamp(),
-                order=order, stamps={"updated_at": "on_change"})
-            tables.publish(name, result, tables.next_version(name), touched, writer, epoch)
+            tables.apply(plan(rows), writer, epoch)
         finally:
             rows.unpersist()
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).foreachBatch(take).start())
+
+
+def upsert_landed(stream: DataFrame, tables: Tables, name: str, values: list[str],
+                  order: list[str], checkpoint: str, prepare=None):
+    """Upsert every landed file into one table."""
+    def plan(batch: DataFrame) -> dict[str, DataFrame]:
+        return {name: tables.upserted(
+            name, prepare(batch) if prepare else batch, values, F.current_timestamp(), order=order,
+            stamps={"updated_at": "on_change"})}
+
+    return land(stream, tables, plan, checkpoint)

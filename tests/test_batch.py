@@ -315,3 +315,29 @@ def test_publish_rewrites_touched_buckets_only(spark, tmp_path):
     names = {r.nse_symbol: r.index_name for r in tables.read("company_indices").collect()}
     assert len(names) == 8 and names["A"] == "new" and "new" != names[next(
         k for k in names if k not in {r.nse_symbol for r in stored.collect()})]
+
+
+def test_a_run_goes_on_after_its_last_finished_stage(spark, landed, tmp_path, monkeypatch):
+    """It ends while results are read; repeated, it reads no search answer and no price again."""
+    from equifacts.plans import company_batch
+    tables, at = Tables(spark, str(tmp_path), buckets=4), datetime(2026, 7, 4, 10, 6, 3)
+    asked = []
+
+    def fails(name, real):
+        def run(*how, **more):
+            asked.append(name)
+            if name == "feed_entries" and asked.count(name) == 2:
+                raise InterruptedError
+            return real(*how, **more)
+        return run
+
+    for name in ("suggest_entries", "price_rows", "feed_entries"):
+        monkeypatch.setattr(company_batch, name, fails(name, getattr(company_batch, name)))
+    with pytest.raises(InterruptedError):
+        run_batch(tables, landed, index_registry(spark, KEYS), "r1", T0, at, waves=2)
+    assert asked == ["suggest_entries"] * 2 + ["price_rows"] * 2 + ["feed_entries"] * 2
+    asked.clear()
+    result = run_batch(tables, landed, index_registry(spark, KEYS), "r1", T0, at, waves=2)
+    assert asked == ["feed_entries"] * 2  # what was left, in two waves again
+    assert result.run.first().companies_scraped == 2 and result.errors.count() == 6
+    assert tables.read("period_results").count() == 5
