@@ -1,11 +1,9 @@
 """Cleaning of scraped text, numbers, period labels and stamps as Column expressions."""
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+
+from equifacts.functions.entities import unescape
 
 # Texts that mean "no value", besides the empty one.
 PLACEHOLDERS = r"^(-|--|N\.A\.|NA|null|None)$"
@@ -23,41 +21,13 @@ SPACE = (
 DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-@F.pandas_udf(StringType())
-def _unescape(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def _unescape_each(texts: pd.Series) -> pd.Series:
-    return texts.map(
-        lambda items: [t if t is None else html.unescape(t) for t in items],
-        na_action="ignore")
-
-
-# Not declared deterministic, so that a filter on the result is applied to the result
-# instead of being pushed below with a second call of the function.
-_unescape = _unescape.asNondeterministic()
-_unescape_each = _unescape_each.asNondeterministic()
-
-
-def unescape(c: Column) -> Column:
-    """Decode HTML entities. Only texts holding an ampersand travel to Python."""
-    return F.coalesce(_unescape(F.when(c.contains("&"), c)), c)
-
-
 def unescape_each(c: Column) -> Column:
     """``unescape`` for an array of texts."""
-    has_entity = F.array_join(c, "").contains("&")
-    return F.coalesce(_unescape_each(F.when(has_entity, c)), c)
+    return F.transform(c, unescape)
 
 
 def unescape_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    """Decode several columns in one trip to Python, which rows without entities skip."""
-    packed = df.withColumn("_packed", F.array(*names))
-    decoded = packed.withColumn("_packed", unescape_each(F.col("_packed")))
-    return decoded.withColumns(
-        {n: F.col("_packed")[i] for i, n in enumerate(names)}).drop("_packed")
+    return df.withColumns({n: unescape(F.col(n)) for n in names})
 
 
 def strip(c: Column) -> Column:

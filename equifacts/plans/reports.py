@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from equifacts.functions.sentences import shorten
 from equifacts.functions.text import stamp_text
 from equifacts.operators.filters import in_scope
 from equifacts.operators.latest import latest_period, latest_periods, order_periods, with_period
@@ -122,9 +123,11 @@ def holding_rows(holdings: DataFrame, companies: DataFrame, scope: DataFrame) ->
         F.asc_nulls_first("company_name"), "nse_symbol", "pos")
 
 
-def facet_report(view: DataFrame, facet: str, label: str) -> DataFrame:
-    """Companies with the facet, or one row saying that there is none."""
+def facet_report(view: DataFrame, facet: str, label: str, length: int | None = None) -> DataFrame:
+    """Companies with the facet, cut to ``length`` if given, or one row saying that there is none."""
     filled = view.where(F.col(facet).isNotNull() & (F.col(facet) != ""))
+    if length is not None:
+        filled = filled.withColumn(facet, shorten(F.col(facet), length))
     headers = {"Company Name": "company_name", "NSE Symbol": "nse_symbol", label: facet}
     return or_placeholder(
         printed(by_name(filled), headers), printed(filled, headers),
@@ -151,7 +154,7 @@ def error_report(errors: DataFrame, missing: DataFrame) -> DataFrame:
 def report_bundle(companies: DataFrame, prices: DataFrame, memberships: DataFrame,
                   periods: DataFrame, holdings: DataFrame, scope: DataFrame,
                   errors: DataFrame, missing: DataFrame, summary: DataFrame,
-                  ) -> dict[str, DataFrame]:
+                  facet_length: int | None = None) -> dict[str, DataFrame]:
     """The ten tables of a run by sheet name."""
     # Six sheets read this join.
     view = stage(companies_with_prices(companies, prices, scope), "report-view")
@@ -165,7 +168,7 @@ def report_bundle(companies: DataFrame, prices: DataFrame, memberships: DataFram
         "Shareholding": printed(holding_rows(holdings, companies, scope), HOLDINGS),
     }
     for sheet, (facet, label) in FACETS.items():
-        sheets[sheet] = facet_report(view, facet, label)
+        sheets[sheet] = facet_report(view, facet, label, facet_length)
     sheets["Errors & Skipped"] = error_report(errors, missing)
     sheets["Execution Summary"] = summary
     return sheets

@@ -16,7 +16,7 @@ def read_constituents(spark: SparkSession, paths, registry: DataFrame) -> DataFr
     ``block_start`` orders the blocks of a file that was split.
     """
     scan = (
-        spark.read.schema(CONSTITUENT_CSV).csv(paths, header=True)
+        spark.read.schema(CONSTITUENT_CSV).csv(paths, header=True, escape='"')
         .select(
             "*",
             F.col("_metadata.file_name").alias("csv_filename"),
