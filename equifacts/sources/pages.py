@@ -1,15 +1,10 @@
 """Fields and holdings out of landed company pages."""
 
-import sys
-from html.parser import HTMLParser
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from equifacts.functions import payload
+from equifacts.functions.markup import container_text
 from equifacts.functions.text import (
     clean_text,
     normalise,
@@ -18,9 +13,6 @@ from equifacts.functions.text import (
     unescape_each,
 )
 
-# The container walk travels with the query: executors need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Where the summary stands (enclosing id, class), first present wins.
 SUMMARY_RULES = [("id", "company_info", "class", "morepls_cnt"),
                  ("id", "company_info", "class", "com_overviewcnt")]
@@ -33,106 +25,9 @@ HOLDINGS_VARIABLE = r"(?s)var\s+summary_jsn\s*=\s*'(\{.*?\})'"
 # Keys of the address parts, in print order.
 ADDRESS_PARTS = ["address1", "address2", "city", "state", "pincode"]
 
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
-        "source", "track", "wbr"}
-CHUNK = 65536
-SILENT = {"script", "style", "template"}
 NUMERIC_KINDS = "^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE|BOOLEAN)"
 
 
-class _Containers(HTMLParser):
-    """Collects the text of the first element that matches each rule.
-
-    A rule is a chain of (attribute, value) pairs, or ("tag", name), each nested in
-    the one before.
-    """
-
-    def __init__(self, rules):
-        super().__init__(convert_charrefs=True)
-        self.rules = [list(zip(r[::2], r[1::2])) for r in rules]
-        self.texts = [None] * len(rules)
-        self.taking = [None] * len(rules)
-        self.stack = []
-        self.run = []
-
-    @staticmethod
-    def _is(tag, attrs, test):
-        kind, value = test
-        if kind == "tag":
-            return tag == value
-        found = attrs.get(kind) or ""
-        return value in found.split() if kind == "class" else value == found
-
-    def _break(self):
-        text = "".join(self.run).strip()
-        self.run = []
-        if text and not any(e[0] in SILENT for e in self.stack):
-            for i, depth in enumerate(self.taking):
-                if depth is not None:
-                    self.texts[i].append(text)
-
-    def handle_starttag(self, tag, attrs):
-        self._break()
-        attrs = dict(attrs)
-        if tag in VOID:
-            return
-        before = self.stack[-1][1] if self.stack else [0] * len(self.rules)
-        matched = list(before)
-        for i, rule in enumerate(self.rules):
-            done = matched[i]
-            if done < len(rule) and self._is(tag, attrs, rule[done]):
-                matched[i] = done + 1
-                if matched[i] == len(rule) and self.texts[i] is None:
-                    self.texts[i], self.taking[i] = [], len(self.stack)
-        self.stack.append((tag, matched))
-
-    def handle_endtag(self, tag):
-        self._break()
-        open_at = [i for i, e in enumerate(self.stack) if e[0] == tag]
-        if not open_at:
-            return
-        del self.stack[open_at[-1]:]
-        for i, depth in enumerate(self.taking):
-            if depth is not None and depth >= len(self.stack):
-                self.taking[i] = None
-
-    def handle_data(self, data):
-        self.run.append(data)
-
-    def handle_comment(self, data):
-        self._break()
-
-    def first(self, html):
-        """Text of the first rule's element that is present. Once the element of rule one
-        is closed, the rest of the page cannot change the answer and is not parsed."""
-        for at in range(0, len(html), CHUNK):
-            self.feed(html[at:at + CHUNK])
-            if self.texts[0] is not None and self.taking[0] is None:
-                break
-        else:
-            self.close()
-            self._break()
-        return next((" ".join(t) for t in self.texts if t is not None), None)
-
-
-def container_text(html: Column, rules) -> Column:
-    """Text of the first container present, its pieces joined by a space.
-
-    Pages that cannot hold a container are not sent to Python.
-    """
-    rules = list(rules)
-
-    @F.pandas_udf(StringType())
-    def walk(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: _Containers(rules).first(page), na_action="ignore")
-
-    markers = {rule[1] for rule in rules}
-    possible = F.lit(False)
-    for marker in markers:
-        possible = possible | F.contains(F.lower(html), F.lit(marker.lower()))
-    return walk.asNondeterministic()(F.when(possible, html))
-
-
 def extract_container(pages: DataFrame, html: str, rules, name: str) -> DataFrame:
     return pages.withColumn("_text", container_text(F.col(html), rules)).withColumn(
         name, clean_text(F.col("_text"))).drop("_text")
@@ -152,6 +47,7 @@ def _matched(html: Column, pattern: str) -> Column:
 
 def hidden_block(html: Column) -> Column:
     raw = _matched(html, HIDDEN_BLOCK)
+    # Entities of the block.
     for entity, char in (("&quot;", '"'), ("&amp;", "&"), ("&#039;", "'")):
         raw = F.replace(raw, F.lit(entity), F.lit(char))
     return raw

@@ -56,6 +56,6 @@ def test_scans_read_the_needed_columns(spark):
     assert "EvalPython" not in pages and "c_name" in pages
 
 
-def test_entities_are_decoded_without_python(spark):
-    for name in ("clean_names", "feed_to_prices", "feed_to_periods", "resolve_identity", "merge_by_key"):
+def test_pages_and_entities_are_read_without_python(spark):
+    for name in ("page_profile", "page_fields", "clean_names", "feed_to_prices", "feed_to_periods", "resolve_identity", "merge_by_key"):
         assert "EvalPython" not in plan(spark, name)
