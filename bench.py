@@ -1,7 +1,6 @@
-"""Wall time of the headline queries; prints one JSON line.
+"""Wall time of the library's queries; prints one JSON line.
 
-BENCH_SF_DIR names the tables, BENCH_CPUS the cores, BENCH_QUERIES (comma separated, or
-"all") a selection. Each query runs once to warm up and then BENCH_RUNS times; the median
+BENCH_SF_DIR names the tables, BENCH_CPUS the cores, BENCH_QUERIES (comma separated) a selection. Each query runs once to warm up and then BENCH_RUNS times; the median
 counts.
 """
 
@@ -21,15 +20,6 @@ from equifacts.bindings import QUERIES  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-HEADLINE = [
-    "latest_n_periods", "latest_period_join", "period_key", "merge_by_key", "membership_list",
-    "sector_universe", "resolve_identity", "request_list", "clean_names", "parse_numbers",
-    "feed_to_prices", "feed_to_periods", "page_fields", "page_profile", "page_holdings", "facets",
-    "profile_coalesce", "upsert_rows", "upsert_periods", "fold_duplicates", "replace_keep",
-    "replace_clear", "touch_stub", "stale_set", "resume_set", "error_split", "missing_report",
-    "integrity_report", "run_summary", "company_list", "financial_data", "quarterly_report",
-    "shareholding_report", "stored_upsert", "landed_increment",
-]
 RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 
@@ -55,7 +45,7 @@ def timed(spark, name) -> float:
 def main() -> None:
     spark = session()
     chosen = os.environ.get("BENCH_QUERIES", "")
-    names = sorted(QUERIES) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
+    names = chosen.split(",") if chosen else sorted(QUERIES)
     seconds = {}
     for name in names:
         timed(spark, name)
