@@ -162,16 +162,21 @@ def candidate_components(texts: DataFrame) -> DataFrame:
     return components(edges)
 
 
-def _blocks(candidates: DataFrame) -> DataFrame:
-    """Candidates dealt to pairs of blocks; a small component is one block."""
+def _with_blocks(members: DataFrame) -> DataFrame:
+    """Members with the number of blocks of their component; a small component is one block."""
     sizes = stage(
-        candidates.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_grams").alias("grams"))
+        members.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_grams").alias("grams"))
         .select("root", F.ceil(F.greatest(
             F.col("n") / BLOCK_TEXTS, F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
         .where("blocks > 1"), "jaccard-sizes")
+    return members.join(sizes, "root", "left").fillna(1, ["blocks"])
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members dealt to pairs of blocks."""
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     return (
-        candidates.join(sizes, "root", "left").fillna(1, ["blocks"]).withColumn("own", own)
+        members.withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}))
 
@@ -218,28 +223,36 @@ def _checker(size: int, similarity: float):
     return check
 
 
-def classes(docs: DataFrame, size=WORDS_IN_GRAM, similarity=SIMILARITY, recall=RECALL,
-            hashes=HASHES) -> tuple[DataFrame, DataFrame]:
-    """The rows' text keys, and a class and its links for each distinct text.
-
-    The second frame holds ``text_key, node, doc_id`` (the text's smallest), ``copies``,
-    ``root`` (the class, by its smallest node), ``links`` (documents with another text that
-    reach the similarity).
-    """
+def _candidates(docs: DataFrame, size, similarity, recall, hashes) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' text keys, the distinct texts, and the candidates among these, each once, with
+    their texts, the smallest node of their component and its number of blocks."""
     sketched = stage(sketches(docs, size, similarity, recall, hashes), "jaccard-sketches")
     texts = distinct_texts(sketched)
     plain = texts.drop("bands")
-    found = stage(plain.join(candidate_components(texts), "node"), "jaccard-candidates")
-    # The smallest id and the key lead to one row of each candidate text.
+    found = _with_blocks(stage(plain.join(candidate_components(texts), "node"), "jaccard-candidates"))
+    # The smallest id and the key lead to one row of each candidate text, or to equal ones.
     row = F.coalesce(F.col("doc_id"), F.xxhash64("text_key"))
     wanted = found.select(
-        "node", "root", "copies", "n_grams", row.alias("row"), "text_key").hint("shuffle_hash")
+        "node", "root", "copies", "n_grams", "blocks", row.alias("row"), "text_key").hint("shuffle_hash")
     full = docs.select("doc_id", text_of().alias("text")).withColumn(
         "text_key", text_key(F.col("text"))).select(
         F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text_key")).alias("row"),
         "text_key", "text")
+    once = full.join(wanted, ["row", "text_key"]).dropDuplicates(["row", "text_key"])
+    return sketched.select("doc_id", "text_key"), plain, once.drop("row", "text_key")
+
+
+def classes(docs: DataFrame, size=WORDS_IN_GRAM, similarity=SIMILARITY, recall=RECALL,
+            hashes=HASHES) -> tuple[DataFrame, DataFrame]:
+    """The rows' text keys, and a class and its links for each distinct text.
+
+    The second frame holds ``text_key, node, doc_id`` (the text's smallest), ``copies``,
+    ``root`` (the class, by its smallest node), ``links`` (documents with another text that
+    reach the similarity).
+    """
+    rows, plain, found = _candidates(docs, size, similarity, recall, hashes)
     checked = stage(
-        _blocks(full.join(wanted, ["row", "text_key"]))
+        _dealt(found)
         .select("root", "i", "j", "own", "node", "copies", "text")
         .groupBy("root", "i", "j")
         .applyInPandas(_checker(size, similarity), "node long, low long, links long"),
@@ -249,7 +262,100 @@ def classes(docs: DataFrame, size=WORDS_IN_GRAM, similarity=SIMILARITY, recall=R
     linked = plain.join(links, "node", "left").join(roots, "node", "left").select(
         "text_key", "node", "doc_id", "copies",
         F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-    return sketched.select("doc_id", "text_key"), stage(linked, "jaccard-classes")
+    return rows, stage(linked, "jaccard-classes")
+
+
+class _Sets:
+    """Gram sets side by side, to count what one has in common with each."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
+        grams, self.column = np.unique(np.concatenate(sets), return_inverse=True)
+        self.flags = np.zeros(len(grams), np.int64)
+
+    def likeness(self, k: int) -> np.ndarray:
+        own = self.column[self.starts[k]:self.starts[k] + self.sizes[k]]
+        self.flags[own] = 1
+        common = np.add.reduceat(self.flags[self.column], self.starts)
+        self.flags[own] = 0
+        return common / (self.sizes[k] + self.sizes - common)
+
+
+class _Union:
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def of(self, k: int) -> int:
+        while self.root[k] != k:
+            self.root[k] = k = self.root[self.root[k]]
+        return int(k)
+
+    def join(self, members) -> None:
+        tops = {self.of(m) for m in members}
+        self.root[list(tops)] = min(tops)
+
+
+def stars(sets: list[np.ndarray], similarity: float) -> tuple[list[int], list[int], np.ndarray]:
+    """The class of each set, the pivot it was put with, and its distance from that.
+
+    A set is compared with all others when it is the first that no pivot reached, and a pivot then
+    takes what it reaches. Jaccard distance keeps the triangle inequality, so another set can reach
+    one of the pivot's only if it lies within the pivot's radius and one link's length; such sets
+    are compared with all others too, unless they share the pivot's class already. No link between
+    two classes is left out.
+    """
+    table, union, reach = _Sets(sets), _Union(len(sets)), 1 - similarity + 1e-9
+    pivot, distance = np.full(len(sets), -1), np.zeros(len(sets))
+    near = []
+    for k in range(len(sets)):
+        if pivot[k] < 0:
+            away = 1 - table.likeness(k)
+            linked = away <= reach
+            new = linked & (pivot < 0)
+            pivot[new], distance[new] = k, away[new]
+            union.join([k, *np.flatnonzero(linked)])
+            doubtful = ~linked & (away <= reach + away[new].max(initial=0.0))
+            near += [(k, other) for other in np.flatnonzero(doubtful)]
+    compared = set(np.unique(pivot).tolist())
+    for k, other in near:
+        if other not in compared and union.of(k) != union.of(other):
+            compared.add(other)
+            union.join([other, *np.flatnonzero(1 - table.likeness(other) <= reach)])
+    return [union.of(k) for k in range(len(sets))], pivot.tolist(), distance
+
+
+def _gram_sets(texts, size: int) -> list[np.ndarray]:
+    powers = _Powers()
+    return [np.unique(grams_of(t, size, powers)) for t in texts]
+
+
+def _block_classes(size: int, similarity: float):
+    def check(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("node", ignore_index=True)
+        root, _, _ = stars(_gram_sets(block["text"], size), similarity)
+        nodes = block["node"].to_numpy()
+        return pd.DataFrame({"node": nodes, "low": nodes[root], "blocks": block["blocks"]})
+    return check
+
+
+def class_roots(docs: DataFrame, size=WORDS_IN_GRAM, similarity=SIMILARITY, recall=RECALL,
+                hashes=HASHES) -> tuple[DataFrame, DataFrame]:
+    """The rows' text keys, and ``text_key, node, doc_id, copies, root`` of each distinct text.
+
+    The classes are those of ``classes``; links are not counted, so not all pairs are compared. Each
+    pair of a large component's blocks finds its classes apart; what these share is put together.
+    """
+    rows, plain, found = _candidates(docs, size, similarity, recall, hashes)
+    local = stage(
+        _dealt(found).select("root", "i", "j", "node", "blocks", "text").groupBy("root", "i", "j").applyInPandas(
+            _block_classes(size, similarity), "node long, low long, blocks int"), "jaccard-local")
+    roots = local.where("blocks = 1").select("node", F.col("low").alias("root"))
+    met = local.where("blocks > 1").select(F.col("node").alias("u"), F.col("low").alias("v"))
+    if not met.isEmpty():
+        roots = roots.union(components(met).select("node", "root"))
+    return rows, stage(plain.join(roots, "node", "left").select(
+        "text_key", "node", "doc_id", "copies", F.coalesce("root", "node").alias("root")), "jaccard-roots")
 
 
 def join_report(docs: DataFrame, **options) -> DataFrame:
@@ -265,7 +371,7 @@ def join_report(docs: DataFrame, **options) -> DataFrame:
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """One document of each class, that of the smallest id, with all its columns."""
-    _, texts = classes(docs, **options)
+    _, texts = class_roots(docs, **options)
     first = texts.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull(), "doc_id", "node", "text_key")).alias("f")).select(
         F.coalesce("f.doc_id", F.xxhash64("f.text_key")).alias("row"), "f.text_key")

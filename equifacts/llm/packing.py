@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equifacts.llm.common import text_of, words_of
-from equifacts.llm.jaccard_join import classes, text_key
+from equifacts.llm.jaccard_join import class_roots, text_key
 from equifacts.session import stage
 
 CAPACITY = 2048
@@ -86,6 +86,30 @@ def _pack(capacity: int):
     return pack
 
 
+def _sized(docs: DataFrame, cluster: Column) -> DataFrame:
+    return docs.select(
+        "doc_id", F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"),
+        F.size(words_of(text_of())).cast("long").alias("n_words"))
+
+
+def _packed(sized: DataFrame, capacity: int, shard_docs: int) -> DataFrame:
+    """Rows of ``_sized``, dealt to shards by a hash and packed there.
+
+    Repeated rows are counted and numbered, so that they spread over shards like any others.
+    """
+    counted = stage(
+        sized.groupBy("doc_id", "source", "cluster", "n_words").agg(F.count("*").alias("n")), "pack-sizes")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    shards = max(1, math.ceil(total / shard_docs))
+    # In two steps: numbers of a row repeated very often are never one array.
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / shard_docs))))
+    first = F.col("run") * shard_docs
+    rows = runs.withColumn("nth", F.explode(F.sequence(first, F.least(first + shard_docs, "n") - 1)))
+    spread = F.xxhash64("doc_id", "cluster", "nth")
+    return rows.withColumn("shard", F.pmod(spread, F.lit(shards))).select(
+        "shard", "doc_id", "source", "cluster", "n_words").groupBy("shard").applyInPandas(_pack(capacity), RESULT)
+
+
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS,
                    cluster: Column | None = None) -> DataFrame:
     """A row for each piece of a document: its bin, its place there, and the bin's words.
@@ -94,27 +118,20 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int =
     """
     if cluster is None:
         cluster = F.xxhash64(words_of(text_of()))
-    sized = stage(docs.select(
-        "doc_id", F.col("source").cast("string").alias("source"),
-        cluster.cast("string").alias("cluster"),
-        F.size(words_of(text_of())).cast("long").alias("n_words")).withColumn(
-        "row", F.monotonically_increasing_id()), "pack-sizes")
-    shards = max(1, math.ceil(sized.count() / shard_docs))
-    own = F.coalesce(F.xxhash64("doc_id", "cluster"), F.lit(0))
-    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("row")).otherwise(own)
-    return sized.withColumn("shard", F.pmod(spread, F.lit(shards))).groupBy("shard").applyInPandas(
-        _pack(capacity), RESULT)
-
-
-def pack_apart(docs: DataFrame, **options) -> DataFrame:
+    return _packed(_sized(docs, cluster), capacity, shard_docs)
+
+
+def pack_apart(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """``pack_documents`` with near copies kept apart: a cluster is a class of near copies.
 
     A class is named by its smallest text key, so that bins do not depend on how texts were
     numbered.
     """
-    _, texts = classes(docs)
+    _, texts = class_roots(docs)
     names = texts.groupBy("root").agg(F.min("text_key").alias("class_key"))
-    known = stage(texts.join(names, "root").select("text_key", "class_key"), "pack-classes")
-    keyed = docs.select("doc_id", "source", "text", text_key(text_of()).alias("text_key"))
-    return pack_documents(
-        keyed.join(known, "text_key"), cluster=F.hex("class_key"), **options)
+    known = stage(texts.join(names, "root").select(
+        F.hex("text_key").alias("cluster"), F.hex("class_key").alias("class")), "pack-classes")
+    # Words are counted before the join, so texts stay where they are.
+    sized = _sized(docs, F.hex(text_key(text_of()))).join(known, "cluster").select(
+        "doc_id", "source", F.col("class").alias("cluster"), "n_words")
+    return _packed(sized, capacity, shard_docs)
