@@ -92,8 +92,11 @@ def landed_between(landed: Landed, since=None, until=None) -> Landed:
 
 
 def newest_response(landed: DataFrame, keys: list[str]) -> DataFrame:
-    """The newest landed row per key. A later join on the same key needs no further shuffle."""
-    window = Window.partitionBy(*keys).orderBy(F.desc("fetched_at"), "error", "body")
+    """The newest landed row per key; of equally new ones, bodies are told apart by their hash.
+
+    A later join on the same key needs no further shuffle.
+    """
+    window = Window.partitionBy(*keys).orderBy(F.desc("fetched_at"), "error", F.xxhash64("body"))
     return landed.withColumn("_n", F.row_number().over(window)).where(
         F.col("_n") == 1).drop("_n")
 
