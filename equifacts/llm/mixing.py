@@ -4,10 +4,14 @@ Built-in functions only. A document's words are cut into blocks. Each source's b
 a random but fixed order; the source's target decides how many whole rounds of that order and
 how much of a last round the mix takes. These exact quotas of blocks are split over the output
 shards by a binary tree: at each node the left half's share of every source is drawn from the
-multivariate hypergeometric distribution, one source after the other. A shard then takes its
-own stretch of each source's order, so no two shards share a block, and a hash gives the order
-within the shard. The mix is written shard by shard, a row for each block; the report tells the
-words that each shard takes of a document.
+multivariate hypergeometric distribution, first between groups of ``GROUP`` sources, then in each
+group one source after the other. Draws are exact at every size: a narrow distribution is inverted,
+a wide one drawn by rejection. A shard then takes its own stretch of each source's order, so no two
+shards share a block, and a hash gives the order within the shard. The mix is written shard by
+shard, a row for each block; the report tells the words that each shard takes of a document.
+
+Where a stretch begins is a place in the order of a hash, so a few cut points a source tell every
+block where it goes: documents meet these, not a table of blocks, and only blocks are shuffled.
 
 Defined cases: null text counts as empty; null sources are one source, the last; a document
 without words takes no part and takes 0; repeated rows are each their own document; an empty
@@ -30,32 +34,52 @@ BLOCK_WORDS = 256
 SHARDS = 16
 SEED = 11
 BUCKET_BLOCKS = 50_000
-EXACT_SPREAD = 500.0
+GROUP = 1024
+INVERTED_SPREAD = 500.0
+TRIES = 64
+# Width and offset of the table mountain hat over a unimodal distribution.
+HAT_WIDTH, HAT_OFFSET = 2 * math.sqrt(2 / math.e), 3 - 2 * math.sqrt(3 / math.e)
+
+
+def _ranked(found: DataFrame) -> DataFrame:
+    """Sources with their place by code point, null last, counted over ranges of them."""
+    order = F.col("source").asc_nulls_last()
+    placed = stage(
+        found.repartitionByRange(order).sortWithinPartitions(order)
+        .withColumn("at", F.monotonically_increasing_id()), "mix-sources")
+    part = F.shiftright("at", 33)
+    # A row for each range, of which there are as many as shuffle partitions at most.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return placed.withColumn("part", part).join(ranges, "part").withColumn(
+        "rank", (F.col("first") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")).drop(
+        "part", "first", "at")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, repeats=REPEATS) -> DataFrame:
-    """``(source, rank, source_size, blocks, target)`` by the sources' weights.
+    """``(source, rank, source_size, n_blocks, target)`` by the sources' weights.
 
-    A source's fair amount is its weight times the level at which all targets add up; sources
-    that it would take beyond their limit stop there and raise the level for the others. Of
-    the levels met while sources stop in the order of limit per weight, the right one is the
-    highest.
+    A source's fair amount is its weight times the level at which all targets add up. Sources that
+    it would take beyond their limit stop there and raise the level for the others, until none is
+    above; each round is one aggregate over the sources.
     """
     found = sizes.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.sum("n_blocks").alias("n_blocks"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    ranked = found.withColumn("rank", F.row_number().over(order) - 1).withColumn(
-        "weight", F.get(F.array(*map(F.lit, weights)), F.col("rank") % len(weights)).cast("double"))
-    limit = F.col("source_size") * float(repeats)
-    before = Window.orderBy(limit / F.col("weight"), "rank").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    total = F.sum("source_size").over(everything) * float(share)
-    level = (total - F.coalesce(F.sum(limit).over(before), F.lit(0.0))) / (
-        F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    return ranked.withColumn("level", level).withColumn(
-        "level", F.max("level").over(everything)).select(
-        "source", "rank", "source_size", "n_blocks",
-        F.least(limit, F.col("level") * F.col("weight")).alias("target"))
+    ranked = stage(_ranked(found).withColumn(
+        "weight", F.get(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights)).cast("int")).cast("double")
+    ).withColumn("limit", F.col("source_size") * float(repeats)), "mix-ranked")
+    total, weight = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
+    level, stopped = (total or 0) * float(share) / (weight or 1.0), 0
+    while True:
+        over = F.col("limit") < F.col("weight") * level
+        n, held, free = ranked.agg(
+            F.count_if(over), F.sum(F.when(over, F.col("limit"))), F.sum(F.when(~over, F.col("weight")))).first()
+        if n == stopped or not free:
+            break
+        level, stopped = (total * float(share) - held) / free, n
+    return ranked.select(
+        "source", "rank", "source_size", "n_blocks", F.least("limit", level * F.col("weight")).alias("target"))
 
 
 def _uniform(*parts) -> Column:
@@ -77,12 +101,50 @@ def _log_choose(n: Column, k: Column) -> Column:
     return _log_gamma(n + 1.0) - _log_gamma(k + 1.0) - _log_gamma(n - k + 1.0)
 
 
-def hypergeometric(good: Column, total: Column, drawn: Column, u: Column, z: Column) -> Column:
-    """How many of ``drawn`` out of ``total`` are among its ``good`` ones.
+def _rejection(p: Column, key: list[Column]) -> Column:
+    """A draw by rejection from a table mountain hat over the distribution; null where ``TRIES``
+    pairs of numbers fail, of which each does with a chance below a half."""
+    small, large = F.least(p["g"], p["t"] - p["g"]), F.greatest(p["g"], p["t"] - p["g"])
+    few = F.least(p["d"], p["t"] - p["d"])
+
+    def draw(q: Column) -> Column:
+        def weight(k: Column) -> Column:
+            return (_log_gamma(k + 1.0) + _log_gamma(q["small"] - k + 1.0) + _log_gamma(q["few"] - k + 1.0)
+                    + _log_gamma(q["large"] - q["few"] + k + 1.0))
+
+        top = F.floor((q["few"] + 1) * (q["small"] + 1) / (p["t"] + 2)).cast("double")
+        width = HAT_WIDTH * F.sqrt(p["spread"] * p["spread"] + 0.5) + HAT_OFFSET
+        centre = q["few"] * q["small"] / p["t"] + 0.5
+
+        def attempt(acc: Column, n: Column) -> Column:
+            x, y = _uniform(*key, F.lit("x"), n), _uniform(*key, F.lit("y"), n)
+
+            def judged(c: Column) -> Column:
+                k = F.floor(c["at"]).cast("double")
+                inside = (k >= 0) & (k <= F.least(q["small"], q["few"]))
+                return F.when(inside, F.when(2 * F.log(c["x"]) <= c["peak"] - weight(k), k))
+
+            tried = let(F.struct((centre + width * (y - 0.5) / x).alias("at"), x.alias("x"),
+                                 weight(top).alias("peak")), judged)
+            return F.coalesce(acc, tried)
+
+        found = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), F.lit(None).cast("double"), attempt)
 
-    Up to a spread of ``EXACT_SPREAD`` the distribution function is inverted at ``u``, over ten
-    spreads round the mean; beyond it the normal curve, whose error is then far below one part
-    in a thousand, is read at ``z``.
+        def mirrored(k: Column) -> Column:  # back from the smaller kind and the smaller draw
+            kind = F.when(p["g"] > p["t"] - p["g"], q["few"] - k).otherwise(k)
+            return F.when(q["few"] < p["d"], p["g"] - kind).otherwise(kind)
+
+        return let(found, mirrored)
+
+    return let(F.struct(small.alias("small"), large.alias("large"), few.alias("few")), draw)
+
+
+def hypergeometric(good: Column, total: Column, drawn: Column, key: list[Column]) -> Column:
+    """How many of ``drawn`` out of ``total`` are among its ``good`` ones; ``key`` gives the chance.
+
+    Up to a spread of ``INVERTED_SPREAD`` the distribution function is inverted, over ten spreads
+    round the mean; beyond it rejection draws from the same distribution in a few steps. Both are
+    exact but for the rounding of doubles.
     """
     g, t, d = (c.cast("double") for c in (good, total, drawn))
     low, high = F.greatest(F.lit(0.0), d - (t - g)), F.least(g, d)
@@ -109,49 +171,65 @@ def hypergeometric(good: Column, total: Column, drawn: Column, u: Column, z: Col
                 (acc["sum"] + acc["p"]).alias("sum"),
                 F.when(acc["sum"] < p["u"], acc["k"]).otherwise(acc["at"]).alias("at")),
             lambda acc: acc["at"])
-        bell = F.least(p["high"], F.greatest(p["low"], F.round(p["mean"] + p["spread"] * p["z"])))
-        return F.when(p["low"] >= p["high"], p["low"]).when(
-            p["spread"] > EXACT_SPREAD, bell).otherwise(walked).cast("long")
+        quick = F.when(p["spread"] > INVERTED_SPREAD, _rejection(p, key))
+        return F.when(p["low"] >= p["high"], p["low"]).otherwise(F.coalesce(quick, walked)).cast("long")
 
     return let(F.struct(
         g.alias("g"), t.alias("t"), d.alias("d"), low.alias("low"), high.alias("high"),
-        mean.alias("mean"), spread.alias("spread"), u.alias("u"), z.alias("z")), draw)
+        mean.alias("mean"), spread.alias("spread"), _uniform(*key).alias("u")), draw)
+
 
+def _shared(quotas: Column, drawn: Column, key) -> Column:
+    """How many of ``drawn`` blocks each of several quotas gives: one draw after the other.
 
-def split_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    ``key`` tells the key of the draw for the quota at a place.
+    """
+    start = F.struct(
+        F.aggregate(quotas, F.lit(0).cast("long"), lambda acc, x: acc + x).alias("total"),
+        drawn.cast("long").alias("drawn"), F.array().cast("array<long>").alias("left"))
+
+    def take(acc: Column, x: Column) -> Column:
+        return let(hypergeometric(x, acc["total"], acc["drawn"], key(F.size(acc["left"]))), lambda n: F.struct(
+            (acc["total"] - x).alias("total"), (acc["drawn"] - n).alias("drawn"),
+            F.concat(acc["left"], F.array(n)).alias("left")))
+
+    return F.aggregate(quotas, start, take, lambda acc: acc["left"])
+
+
+def split_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED, group: int = GROUP) -> DataFrame:
     """``(rank, starts)``: where each shard's stretch of a source's order begins.
 
-    ``quotas`` holds ``rank`` and ``quota`` of each source, from rank 0 on.
+    ``quotas`` holds ``rank`` and ``quota`` of each source, from rank 0 on. A node's draw is split
+    between groups of sources first, of which there are ``group`` too for a million sources, and then
+    within each group by a task of its own.
     """
-    node = quotas.agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("rank", "quota"))), lambda s: s["quota"]).alias("q"))
-    node = node.select(F.lit(0).alias("first"), F.lit(shards).alias("count"), "q")
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("rank", "quota"))), lambda s: s["quota"])
+    node = quotas.groupBy(F.floor(F.col("rank") / group).cast("long").alias("group")).agg(in_order.alias("q"))
+    node = node.select("group", F.lit(0).alias("first"), F.lit(shards).alias("count"), "q")
     for _ in range(math.ceil(math.log2(shards))):
         half = (F.col("count") / 2).cast("int")
-        all_of = F.aggregate("q", F.lit(0).cast("long"), lambda acc, x: acc + x)
-        start = F.struct(
-            all_of.alias("total"),
-            (all_of * half / F.col("count")).cast("long").alias("drawn"),
-            F.array().cast("array<long>").alias("left"))
-
-        def take(acc: Column, x: Column) -> Column:
-            at = F.size(acc["left"])
-            u = _uniform(F.lit(seed), F.col("first"), F.col("count"), at)
-            v = _uniform(F.lit(seed + 1), F.col("first"), F.col("count"), at)
-            z = F.sqrt(-2 * F.log(u)) * F.cos(2 * math.pi * v)
-            return let(hypergeometric(x, acc["total"], acc["drawn"], u, z), lambda n: F.struct(
-                (acc["total"] - x).alias("total"), (acc["drawn"] - n).alias("drawn"),
-                F.concat(acc["left"], F.array(n)).alias("left")))
-
-        left = F.aggregate("q", start, take, lambda acc: acc["left"])
-        split = node.withColumn("left", F.when(half > 0, left))
+        node = stage(node.withColumn(
+            "total", F.aggregate("q", F.lit(0).cast("long"), lambda acc, x: acc + x)), "mix-nodes")
+        totals = node.groupBy("first", "count").agg(F.sort_array(
+            F.collect_list(F.struct("group", "total"))).alias("groups"))
+        wanted = F.floor(F.aggregate("groups.total", F.lit(0).cast("long"), lambda acc, x: acc + x)
+                         * half / F.col("count"))
+        dealt = totals.select("first", F.explode(F.arrays_zip(
+            F.col("groups.group").alias("group"),
+            _shared(F.col("groups.total"), wanted, lambda at: [
+                F.lit(seed), F.lit("group"), F.col("first"), F.col("count"), at]).alias("drawn"))).alias("g"))
+        own = node.join(dealt.select("first", "g.group", "g.drawn"), ["first", "group"])
+        left = _shared(F.col("q"), F.col("drawn"), lambda at: [
+            F.lit(seed), F.col("first"), F.col("count"), (F.col("group") * group + at).cast("int")])
+        split = own.withColumn("left", F.when(half > 0, left))
         halves = F.array(
-            F.struct("first", half.alias("count"), F.col("left").alias("q")),
-            F.struct((F.col("first") + half).alias("first"), (F.col("count") - half).alias("count"),
+            F.struct("group", "first", half.alias("count"), F.col("left").alias("q")),
+            F.struct("group", (F.col("first") + half).alias("first"), (F.col("count") - half).alias("count"),
                      F.zip_with("q", "left", lambda a, b: a - b).alias("q")))
-        whole = F.array(F.struct("first", "count", "q"))
+        whole = F.array(F.struct("group", "first", "count", "q"))
         node = split.select(F.explode(F.when(half > 0, halves).otherwise(whole)).alias("n")).select("n.*")
-    parts = node.select("first", F.posexplode("q").alias("rank", "quota"))
+    parts = node.select("group", "first", F.posexplode("q").alias("at", "quota")).select(
+        (F.col("group") * group + F.col("at")).alias("rank"), "first", "quota")
     before = Window.partitionBy("rank").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn("start", F.coalesce(F.sum("quota").over(before), F.lit(0))).groupBy(
         "rank").agg(F.transform(F.sort_array(F.collect_list(F.struct("first", "start"))),
@@ -173,14 +251,23 @@ def measured(docs: DataFrame, block_words: int = BLOCK_WORDS, numbered: bool = F
     return stage(sized, "mix-sizes")
 
 
-def mix(sizes: DataFrame, shards=SHARDS, block_words=BLOCK_WORDS, seed=SEED, weights=WEIGHTS,
-        share=SHARE, repeats=REPEATS) -> tuple[DataFrame, DataFrame]:
-    """The blocks that the mix takes, and the sources' targets.
+def _hash(key: Column, block: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), key, block)
 
-    A row ``(row, round, block, words, shard, slot)`` is one taking of one block; sorting a
-    shard by ``slot`` shuffles it. Only a source's last block can be taken in part.
-    """
-    spark = sizes.sparkSession
+
+def _standing(block_hash: Column, key: Column, block: Column, row: Column) -> Column:
+    """What orders a source's blocks: the hash as an unsigned number, then what tells equal ones apart."""
+    unsigned = block_hash.bitwiseXOR(F.lit(-(1 << 63)))
+    return F.struct(unsigned.alias("hash"), key.alias("key"), block.alias("block"), row.alias("row"))
+
+
+def _slot(block_hash: Column, times: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed + 2), block_hash, times)
+
+
+def _plan(sizes: DataFrame, shards, block_words, seed, weights, share, repeats) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The blocks with their places in their source's order and how often they are taken, the
+    sources' targets, and where each shard begins."""
     aims = stage(targets(sizes, weights, share, repeats), "mix-targets")
     total = aims.agg(F.sum("n_blocks")).first()[0] or 0
     bits = max(4, math.ceil(math.log2(max(1, total / BUCKET_BLOCKS))) + 1)
@@ -191,7 +278,7 @@ def mix(sizes: DataFrame, shards=SHARDS, block_words=BLOCK_WORDS, seed=SEED, wei
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("s.n_blocks") - 1)).alias("block")).select(
         "row", "rank", "key", "block",
         F.least(F.lit(block_words), F.col("size") - F.col("block") * block_words).alias("words"),
-        F.xxhash64(F.lit(seed), "key", "block").alias("hash")).withColumn(
+        _hash(F.col("key"), F.col("block"), seed).alias("hash")).withColumn(
         "bucket", F.shiftrightunsigned("hash", 64 - bits))
     # Places in a source's order are sums over its buckets and within its own bucket, so the
     # rows of a large source are never in one task.
@@ -210,7 +297,7 @@ def mix(sizes: DataFrame, shards=SHARDS, block_words=BLOCK_WORDS, seed=SEED, wei
     taken = stage(
         placed.join(buckets, ["rank", "bucket"])
         .join(aims.select("rank", "n_blocks", whole.alias("whole"), rest.alias("rest")), "rank")
-        .select("row", "rank", "hash", "block", "words", "whole", "n_blocks",
+        .select("row", "rank", "hash", "key", "block", "words", "whole", "n_blocks",
                 (F.col("n_before") + F.col("n_in")).alias("place"),
                 F.least("words", F.greatest(
                     F.lit(0), F.col("rest") - F.col("w_before") - F.col("w_in"))).alias("extra")),
@@ -219,7 +306,17 @@ def mix(sizes: DataFrame, shards=SHARDS, block_words=BLOCK_WORDS, seed=SEED, wei
         taken.groupBy("rank").agg(F.sum(
             F.col("whole") + (F.col("extra") > 0).cast("int")).alias("quota")), "rank", "left"
     ).select("rank", F.coalesce("quota", F.lit(0)).alias("quota"))
-    starts = stage(split_tree(quotas, shards, seed), "mix-shards")
+    return taken, aims, stage(split_tree(quotas, shards, seed), "mix-shards")
+
+
+def mix(sizes: DataFrame, shards=SHARDS, block_words=BLOCK_WORDS, seed=SEED, weights=WEIGHTS,
+        share=SHARE, repeats=REPEATS) -> tuple[DataFrame, DataFrame]:
+    """The blocks that the mix takes, and the sources' targets.
+
+    A row ``(row, round, block, words, shard, slot)`` is one taking of one block; sorting a
+    shard by ``slot`` shuffles it. Only a source's last block can be taken in part.
+    """
+    taken, aims, starts = _plan(sizes, shards, block_words, seed, weights, share, repeats)
     rounds = F.col("whole") + (F.col("extra") > 0).cast("int")
     drawn = taken.where(rounds > 0).withColumn(
         "round", F.explode(F.sequence(F.lit(0).cast("long"), rounds - 1))).withColumn(
@@ -228,7 +325,32 @@ def mix(sizes: DataFrame, shards=SHARDS, block_words=BLOCK_WORDS, seed=SEED, wei
     shard = F.size(F.filter("starts", lambda s: s <= place)) - 1
     return drawn.join(starts, "rank").select(
         "row", "round", "block", "words", shard.alias("shard"),
-        F.xxhash64(F.lit(seed + 2), "hash", "round").alias("slot")), aims
+        _slot(F.col("hash"), F.col("round"), seed).alias("slot")), aims
+
+
+def cut_points(sizes: DataFrame, shards=SHARDS, block_words=BLOCK_WORDS, seed=SEED, weights=WEIGHTS,
+               share=SHARE, repeats=REPEATS) -> DataFrame:
+    """``(source, whole, last, words, cuts)``: what tells a source's blocks where they go.
+
+    A block is taken ``whole`` times, and once more up to the standing ``last``, of which block
+    ``words`` are taken then. ``cuts`` are the times and standings at which shards begin.
+    """
+    taken, aims, starts = _plan(sizes, shards, block_words, seed, weights, share, repeats)
+    standing = _standing(F.col("hash"), F.col("key"), F.col("block"), F.col("row"))
+    ends = taken.groupBy("rank").agg(
+        F.max_by(F.struct(standing.alias("last"), F.col("extra").alias("words")),
+                 F.when(F.col("extra") > 0, F.col("place"))).alias("end"),
+        F.first("whole").alias("whole"))
+    begins = starts.join(aims.where("n_blocks > 0").select("rank", "n_blocks"), "rank").select(
+        "rank", "n_blocks", F.posexplode("starts").alias("shard", "start")).select(
+        "rank", "shard", F.floor(F.col("start") / F.col("n_blocks")).alias("times"),
+        (F.col("start") % F.col("n_blocks")).alias("place"))
+    met = taken.select("rank", "place", standing.alias("at")).join(begins, ["rank", "place"])
+    cuts = met.groupBy("rank").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("shard", "times", "at"))),
+        lambda c: F.struct(c["times"], c["at"])).alias("cuts"))
+    return stage(aims.select("source", "rank").join(ends, "rank").join(cuts, "rank").select(
+        "source", "whole", "end.last", "end.words", "cuts"), "mix-cuts")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
@@ -269,26 +391,50 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     block has its document's columns and its own stretch of the text, as it is written there;
     of one taken in part, the first words stay. ``n_chars``, where there is one, is counted anew.
     """
-    block_words = options.get("block_words", BLOCK_WORDS)
+    block_words, seed = options.get("block_words", BLOCK_WORDS), options.get("seed", SEED)
     rows = stage(docs.select(F.struct("*").alias("kept")).withColumn(
         "row", F.monotonically_increasing_id()), "mix-rows")
     sizes = measured(rows.select("row", "kept.doc_id", "kept.source", "kept.text"), block_words, True)
-    drawn, _ = mix(sizes, **options)
-    picks = drawn.groupBy("row").agg(F.collect_list(
-        F.struct("round", "block", "words", "shard", "slot")).alias("picks"))
-
-    def piece(blocks: Column, pick: Column) -> Column:
-        whole = F.get(blocks, pick["block"].cast("int"))
-        return let(words_of(whole), lambda w: F.when(pick["words"] >= F.size(w), whole).otherwise(
-            F.array_join(F.slice(w, F.lit(1), pick["words"].cast("int")), " ")))
-
+    cuts = cut_points(sizes, **options)
     text = F.col("kept.text")
     run = r"[^\x20\x09-\x0D]++"
     stretches = F.regexp_extract_all(text, F.lit(f"{run}(?:{GAP}{run}){{0,{block_words - 1}}}+"), 0)
+    met = rows.join(cuts, F.col("kept.source").eqNullSafe(F.col("source"))).select(
+        "row", "kept", F.struct("whole", "last", "words", "cuts").alias("plan"),
+        F.xxhash64("kept.doc_id", text_of("kept.text")).alias("key"))
+
+    def first_words(whole: Column, n: Column) -> Column:
+        return let(words_of(whole), lambda w: F.when(n >= F.size(w), whole).otherwise(
+            F.array_join(F.slice(w, F.lit(1), n.cast("int")), " ")))
+
+    def takings(whole: Column, block: Column, block_hash: Column) -> Column:
+        """One entry for each time that a block is taken."""
+        plan = F.col("plan")
+        own = _standing(block_hash, F.col("key"), block, F.col("row"))
+
+        def entries(at: Column) -> Column:
+            more = F.coalesce(at <= plan["last"], F.lit(False)).cast("long")
+
+            def entry(times: Column) -> Column:
+                here = F.struct(times, at)
+                part = (times == plan["whole"]) & (at == plan["last"])
+                return F.struct(
+                    times.alias("round"), block.alias("block"),
+                    F.when(part, first_words(whole, plan["words"])).otherwise(whole).alias("text"),
+                    (F.size(F.filter(plan["cuts"], lambda c: c <= here)) - 1).alias("shard"),
+                    _slot(block_hash, times, seed).alias("slot"))
+
+            n = plan["whole"] + more
+            return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), n - 1), entry))
+
+        return let(own, entries)
+
     pieces = let(stretches, lambda found: let(
         F.when(F.size(found) == 1, F.array(text)).otherwise(found),
-        lambda blocks: F.transform("picks", lambda p: p.withField("text", piece(blocks, p)))))
-    out = rows.join(picks, "row").select(
+        lambda blocks: F.flatten(F.array_compact(F.transform(blocks, lambda whole, n: let(
+            n.cast("long"), lambda block: let(
+                _hash(F.col("key"), block, seed), lambda h: takings(whole, block, h))))))))
+    out = met.select(
         "row", F.col("kept").withField("text", F.lit(None).cast("string")).alias("rest"),
         F.explode(pieces).alias("pick")).select("row", "rest", "pick.*")
     out = _in_shard_order(out, options.get("shards", SHARDS)).select(
