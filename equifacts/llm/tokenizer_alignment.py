@@ -26,6 +26,7 @@ import hashlib
 import itertools
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ from equifacts.session import stage
 
 FOLDER = "/opt/tokenizers"
 BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK_CHARS = 4_000_000
-CACHE_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
+CACHE_CHARS = 2_000_000
+PACKED, ENCODED_TOGETHER = 512, 32
 SPACE_MARK = "▁"
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 
@@ -51,47 +53,50 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
-def refined(spans: list[tuple[int, int]], widths: list[int]) -> list[int]:
+def refined(coarse: np.ndarray, sure: np.ndarray, widths: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where each token ends, in bytes.
 
-    ``spans`` are the coarse spans in bytes. A span's end is a cut when it lies beyond the last cut
-    and the next span does not begin before it; between cuts the decoded widths say where tokens
-    end. Widths that do not fill the spans are taken alone.
+    ``coarse`` are the ends of the tokens' spans, ``sure`` says which of them are cuts: those that no
+    later token of the text begins before, or that go beyond the one before. After the last cut, or
+    where its text begins (``first``, for each token), the widths of the decoded bytes go on. Spans
+    that the widths do not fill are left aside.
     """
-    ends, cut, at = [], 0, 0
-    for k, (_, end) in enumerate(spans):
-        at += widths[k]
-        if end > cut and (k + 1 == len(spans) or spans[k + 1][0] >= end):
-            if at != end:
-                return list(itertools.accumulate(widths))
-            cut = end
-        ends.append(at)
-    return ends
-
-
-class Stretch:
-    """A stretch of text without a break, aligned."""
-
-    __slots__ = ("n_a", "n_b", "groups", "pairs", "spelled")
-
-    def __init__(self, a_ids, a_ends, b_ids, b_ends):
-        self.n_a, self.n_b = len(a_ids), len(b_ids)
-        self.groups, pairs = [], []
-        i = j = first_a = first_b = start = 0
-        while i < len(a_ids):
-            pairs.append(a_ids[i] << 32 | b_ids[j])
-            a, b = a_ends[i], b_ends[j]
-            i, j = i + (a <= b), j + (b <= a)
-            if a == b:
-                self.groups.append((start, a, a_ids[first_a:i], b_ids[first_b:j]))
-                first_a, first_b, start = i, j, a
-        self.pairs = np.array(pairs, np.int64)
-        self.spelled = ";".join(
-            f"{','.join(map(str, a))}|{','.join(map(str, b))}" for _, _, a, b in self.groups)
+    run = np.cumsum(widths)
+    token = np.arange(len(coarse))
+    cut = np.maximum.accumulate(np.where(sure, token, -1))
+    opening = np.concatenate(([True], first[1:] != first[:-1]))[:len(first)]
+    head = np.maximum.accumulate(np.where(opening, token, -1))
+    decoded = first + run - (run - widths)[head]
+    inside = cut >= head
+    ends = np.where(inside, coarse[cut] + run - run[cut], decoded)
+    return np.where(ends == decoded, ends, decoded)
+
+
+class _Flat:
+    """Values of many stretches in a row."""
+
+    def __init__(self):
+        self.parts, self.counts = [], []
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append(values)
+        self.counts.append(counts)
+
+    def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of the given stretches in their order, and how many each has."""
+        values, counts = np.concatenate(self.parts), np.concatenate(self.counts)
+        first = np.cumsum(counts) - counts
+        own = counts[which]
+        at = np.arange(own.sum()) + np.repeat(first[which] - np.cumsum(own) + own, own)
+        return values[at], own
 
 
 class Aligner:
-    """Both tokenizers, and the stretches aligned so far."""
+    """Both tokenizers, and the stretches aligned so far, each under a number.
+
+    Stretches are aligned many at a time, laid one after the other, so that tokens are handled as
+    arrays.
+    """
 
     def __init__(self, folder: str = FOLDER):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -102,44 +107,112 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{PIECE_FILE}")
         alphabet = byte_alphabet()
-        self.a_bytes = {i: bytes(map(alphabet.__getitem__, t)) for t, i in self.a.get_vocab(False).items()}
+        entries = sorted(self.a.get_vocab(True).items(), key=lambda e: e[1])
+        self.a_bytes = [bytes(alphabet[c] for c in t) for t, _ in entries]
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        if [i for _, i in entries] != list(range(len(entries))):
+            raise ValueError("ids of the byte-level vocabulary have gaps")
         if any(SPACE_MARK in name.lstrip(SPACE_MARK) for name in names):
             raise ValueError("pieces cross a space: texts cannot be cut there")
         self.b_bytes = [
             bytes([int(name[3:5], 16)]) if self.b.is_byte(i) else name.replace(SPACE_MARK, " ").encode()
             for i, name in enumerate(names)]
-        self.known: dict[str, Stretch | None] = {}
+        self.a_widths, self.b_widths = (np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes))
+        # An id with what follows it: another of its side, the other side or group, another stretch.
+        self.a_spelled = np.array([(f"{i},", f"{i}|") for i in range(len(self.a_bytes))], object)
+        self.b_spelled = np.array([(f"{i},", f"{i};", f"{i}\n") for i in range(len(names))], object)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.spelled: list[str] = []
+        self.tokens: list[np.ndarray] = []  # of A and of B in each stretch
+        self.links, self.cuts = _Flat(), _Flat()
         self.chars = 0
 
-    def _aligned(self, text: str, encoding, proto) -> Stretch | None:
-        data = b" " + text.encode()
-        a_ids, b_ids = encoding.ids, [p.id for p in proto.pieces]
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_bytes) != data or b"".join(b_bytes) != data:
-            return None
-        a_spans = encoding.offsets
-        if len(data) > len(text) + 1:
-            at = [0, *itertools.accumulate(len(c.encode()) for c in f" {text}")]
-            a_spans = [(at[x], at[y]) for x, y in a_spans]
-        # B's spans do not count the space it puts first.
-        b_spans = [(p.begin + 1, p.end + 1) for p in proto.pieces]
-        return Stretch(a_ids, refined(a_spans, list(map(len, a_bytes))),
-                       b_ids, refined(b_spans, list(map(len, b_bytes))))
-
-    def stretches(self, texts: list[str | None]) -> list[list[Stretch] | None]:
-        """Each text's stretches in order; none for a text without tokens."""
-        cut = [_BREAK.split(t) if t else None for t in texts]
+    def _learn(self, packs: list[list[str]]) -> list[str]:
+        """Align the stretches of each pack, encoded as one text; gives back those of packs that the
+        tokens do not spell or cut where the stretches end."""
+        joined = [" ".join(pack) for pack in packs]
+        encodings = self.a.encode_batch([f" {t}" for t in joined], add_special_tokens=False)
+        protos = [p.pieces for p in self.b.encode(joined, return_type="proto", num_threads=1)]
+        a_ids, b_ids = [e.ids for e in encodings], [[p.id for p in pieces] for pieces in protos]
+        good = [
+            k for k, t in enumerate(joined)
+            if (data := f" {t}".encode()) == b"".join(map(self.a_bytes.__getitem__, a_ids[k]))
+            and data == b"".join(map(self.b_bytes.__getitem__, b_ids[k]))]
+        bad = [s for k in set(range(len(packs))) - set(good) for s in packs[k]]
+        if not good:
+            return bad
+        numbers = itertools.chain.from_iterable
+        n_a, n_b = (np.array([len(ids[k]) for k in good]) for ids in (a_ids, b_ids))
+        a, b = (np.fromiter(numbers(ids[k] for k in good), np.int64, n.sum()) for ids, n in ((a_ids, n_a), (b_ids, n_b)))
+        spans = np.fromiter(numbers(numbers(encodings[k].offsets for k in good)), np.int64, 2 * len(a)).reshape(-1, 2)
+        piece_ends = np.fromiter((p.end for k in good for p in protos[k]), np.int64, len(b))
+
+        data = np.frombuffer("".join([f" {joined[k]}" for k in good]).encode(), np.uint8)
+        byte_of = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # of each character
+        lengths = np.array([len(joined[k]) + 1 for k in good])
+        first_char = np.cumsum(lengths) - lengths
+        first = byte_of[first_char]
+        in_a, in_b = np.repeat(np.arange(len(good)), n_a), np.repeat(np.arange(len(good)), n_b)
+        starts, ends = (byte_of[first_char[in_a] + spans[:, side]] for side in (0, 1))
+        a_ends = refined(ends, np.append(starts[1:] >= ends[:-1], True), self.a_widths[a], first[in_a])
+        # B's spans are in bytes and do not count the space it puts first.
+        ends = first[in_b] + 1 + piece_ends
+        b_ends = refined(ends, ends > np.maximum(np.append(0, ends[:-1]), first[in_b]), self.b_widths[b], first[in_b])
+
+        stretches = [s for k in good for s in packs[k]]
+        lengths = np.array([len(s) + 1 for s in stretches])
+        closes = byte_of[np.cumsum(lengths)]
+        first = np.append(0, closes[:-1])
+        if not (np.isin(closes, a_ends).all() and np.isin(closes, b_ends).all()):
+            return bad + stretches
+        own_a, own_b = np.searchsorted(closes, a_ends), np.searchsorted(closes, b_ends)
+        self.known.update({s: len(self.spelled) + n for n, s in enumerate(stretches)})
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        either = np.union1d(a_ends, b_ends)
+        at = np.searchsorted(a_ends, either)
+        self.links.add(a[at] << 32 | b[np.searchsorted(b_ends, either)], np.bincount(own_a[at], minlength=len(stretches)))
+        of_cut = own_a[np.searchsorted(a_ends, cuts)]
+        self.cuts.add(cuts - first[of_cut], np.bincount(of_cut, minlength=len(stretches)))
+        self.tokens.append(np.stack([np.bincount(own, minlength=len(stretches)) for own in (own_a, own_b)]))
+        # Groups in a row, A's ids before B's in each.
+        group_a, group_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        laid = np.empty(len(a) + len(b), object)
+        last_a, last_b = cuts[group_a] == a_ends, cuts[group_b] == b_ends
+        last_text = np.append(own_b[1:] != own_b[:-1], True)
+        laid[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = self.a_spelled[a, last_a.astype(int)]
+        laid[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = self.b_spelled[
+            b, last_b.astype(int) + last_text]
+        self.spelled += "".join(laid.tolist()).split("\n")[:-1]
+        return bad
+
+    def numbers(self, texts: list[str | None]) -> list[list[int]]:
+        """Each text's stretches in order, by number; none for a text without tokens."""
         if self.chars > CACHE_CHARS:
-            self.known, self.chars = {}, 0
-        new = list({s: None for parts in cut if parts for s in parts if s not in self.known})
-        encodings = self.a.encode_batch([f" {s}" for s in new], add_special_tokens=False)
-        protos = self.b.encode(new, return_type="proto", num_threads=1) if new else []
-        for s, encoding, proto in zip(new, encodings, protos, strict=True):
-            self.known[s] = self._aligned(s, encoding, proto)
-            self.chars += len(s)
-        found = [[self.known[s] for s in parts] if parts else None for parts in cut]
-        return [None if parts is None or None in parts else parts for parts in found]
+            self.forget()
+        cut = [_BREAK.split(t) if t else [] for t in texts]
+        new = list({s: None for parts in cut for s in parts if s not in self.known})
+        # A text's first stretch may begin with white space, its last may end so: these stand alone.
+        plain = [s for s in new if s and not s[0].isspace() and not s[-1].isspace() and SPACE_MARK not in s]
+        packs = [list(p) for p in itertools.batched(plain, PACKED)]
+        if len(plain) < len(new):
+            packs += [[s] for s in set(new).difference(plain)]
+        for some in itertools.batched(packs, ENCODED_TOGETHER):
+            for s in self._learn(list(some)):
+                if self._learn([[s]]):
+                    self.known[s] = -1
+        self.chars += sum(map(len, new))
+        known = self.known
+        found = [[known[s] for s in parts] for parts in cut]
+        return [[] if -1 in numbers else numbers for numbers in found]
+
+
+@lru_cache(maxsize=1)
+def aligner_of(folder: str) -> Aligner:
+    """One for each worker process: loading takes a second, and stretches recur in other tasks."""
+    return Aligner(folder)
 
 
 def _chunks(batches):
@@ -164,27 +237,28 @@ _COUNTS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string
 def _block(ids: pa.Array, texts: list, name: int, aligner: Aligner) -> pa.RecordBatch:
     """A row for each text of a block: its counts and digest, and its links as places in the
     block's list of pairs, which the first row carries with how many texts hold each."""
-    found = aligner.stretches(texts)
-    totals, digests, used, owner = [], [], [], []
-    for k, parts in enumerate(found):
-        parts = parts or []
-        totals.append((sum(p.n_a for p in parts), sum(p.n_b for p in parts),
-                       sum(len(p.groups) for p in parts), sum(len(p.pairs) for p in parts)))
-        digests.append(hashlib.sha256(";".join([p.spelled for p in parts]).encode()).hexdigest() if parts else "")
-        used += parts
-        owner += [k] * len(parts)
-    pairs, places = np.unique(
-        np.concatenate([p.pairs for p in used]) if used else np.zeros(0, np.int64), return_inverse=True)
-    document = np.repeat(np.array(owner, np.int64), [len(p.pairs) for p in used])
+    found = aligner.numbers(texts)
+    spelled = aligner.spelled
+    digests = [hashlib.sha256(";".join([spelled[k] for k in parts]).encode()).hexdigest() if parts else ""
+               for parts in found]
+    used = np.fromiter(itertools.chain.from_iterable(found), np.int64)
+    owner = np.repeat(np.arange(len(texts)), list(map(len, found)))
+    totals = [np.zeros(len(texts), np.int64)] * 4
+    linked = own = np.zeros(0, np.int64)
+    if len(used):
+        linked, own = aligner.links.of(used)
+        counts = [*np.concatenate(aligner.tokens, axis=1)[:, used], aligner.cuts.of(used)[1], own]
+        totals = [np.bincount(owner, n, len(texts)).astype(np.int64) for n in counts]
+    pairs, places = np.unique(linked, return_inverse=True)
+    document = np.repeat(owner, own)
     width = max(1, len(pairs))
     links, times = np.unique(document * width + places, return_counts=True)
     place = (links % width).astype(np.int32)
     held = np.bincount(place, minlength=len(pairs)).astype(np.int64)
     each = np.bincount(links // width, minlength=len(texts))
-    totals = np.array(totals, np.int64).reshape(-1, 4)
     rest = [None] * (len(texts) - 1)
     return pa.RecordBatch.from_arrays(
-        [ids, *(pa.array(totals[:, c]) for c in range(4)), pa.array(digests), pa.array([name] * len(texts), pa.int64()),
+        [ids, *map(pa.array, totals), pa.array(digests), pa.array([name] * len(texts), pa.int64()),
          _lists(place, each), _lists(times.astype(np.int32), each),
          pa.array([pairs, *rest], pa.list_(pa.int64())), pa.array([held, *rest], pa.list_(pa.int64()))],
         ["doc_id", *(f.split()[0] for f in _COUNTS.split(", ")), "block", "places", "times", "pairs", "held"])
@@ -194,7 +268,7 @@ def blocks(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def read(batches):
-        aligner, task = Aligner(folder), TaskContext.get().partitionId()
+        aligner, task = aligner_of(folder), TaskContext.get().partitionId()
         for n, (ids, texts) in enumerate(_chunks(batches)):
             yield _block(ids, texts, task << 32 | n, aligner)
 
@@ -251,17 +325,24 @@ def spans(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
     group = pa.struct([("start", pa.int64()), ("end", pa.int64()),
                        ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
 
-    def laid_out(parts):
+    def laid_out(aligner, parts):
         out, at = [], 0
-        for p in parts or []:
-            out += [{"start": at + s, "end": at + e, "a": a, "b": b} for s, e, a, b in p.groups]
-            at += p.groups[-1][1]
+        if parts:
+            ends = iter(aligner.cuts.of(np.array(parts))[0].tolist())
+            for number in parts:
+                start = at
+                for group in aligner.spelled[number].split(";"):
+                    a, b = ([int(i) for i in side.split(",")] for side in group.split("|"))
+                    end = at + next(ends)
+                    out.append({"start": start, "end": end, "a": a, "b": b})
+                    start = end
+                at = start
         return out
 
     def read(batches):
-        aligner = Aligner(folder)
+        aligner = aligner_of(folder)
         for ids, texts in _chunks(batches):
-            found = [laid_out(parts) for parts in aligner.stretches(texts)]
+            found = [laid_out(aligner, parts) for parts in aligner.numbers(texts)]
             yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.list_(group))], ["doc_id", "groups"])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(

@@ -116,9 +116,13 @@ def test_block_size_changes_nothing(spark, brute):
 
 
 def test_spans_refine_by_bytes():
-    # Three byte tokens before the one that has the character's span, then two that share one.
-    assert alignment.refined([(0, 2), (3, 3), (3, 3), (3, 3), (3, 7), (7, 10), (7, 10)], [3, 1, 1, 1, 1, 1, 2]) == [
-        3, 4, 5, 6, 7, 8, 10]
+    # Byte tokens before the one that has the character's span, two that share one, and a second text.
+    ends = alignment.np.array([3, 3, 3, 3, 7, 10, 10, 12])
+    sure = alignment.np.array([True, False, False, False, True, False, True, True])
+    widths, first = alignment.np.array([3, 1, 1, 1, 1, 1, 2, 2]), alignment.np.array([0] * 7 + [10])
+    assert alignment.refined(ends, sure, widths, first).tolist() == [3, 4, 5, 6, 7, 8, 10, 12]
+    # Spans that the bytes do not fill.
+    assert alignment.refined(ends[:2] + 1, sure[:2], widths[:2], first[:2]).tolist() == [3, 4]
 
 
 def test_empty_table(spark):
