@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from equifacts.bindings.catalog import Data, query
 from equifacts.functions.sentences import with_topics
 from equifacts.plans.reports import facet_report
-from equifacts.session import stage
+from equifacts.session import spread, stage
 from equifacts.sources.pages import extract_container, extract_holdings, extract_pages, flat_text
 
 SPACES = r"[\s\x0b\x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -69,7 +69,9 @@ def company_pages(d: Data) -> DataFrame:
         F.lit('<html><body><div id="company_info">'), summary,
         F.lit('<div class="b" style="display: none;">\n'), block, F.lit("</div></div><script>\nvar summary_jsn = '"),
         holdings, F.lit("';</script></body></html>"))
-    return d.customer.select("c_custkey", html.alias("body"))
+    # A page is long and much is done with it, a customer's row is short.
+    rows = spread(d.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
+    return rows.select("c_custkey", html.alias("body"))
 
 
 @query("""

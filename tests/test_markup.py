@@ -101,3 +101,13 @@ def test_given_pages(spark, values):
     htmls = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
     check(values, htmls, [("tag", "article")])
     check(values, htmls, [("tag", "body", "tag", "p"), ("tag", "p")])
+
+
+def test_values_spelled_as_entities_and_deep_wrong_nesting(spark):
+    pages = [
+        '<div id="info"><p class="x o&#110;e">a<b>b</div>c',
+        "<p><i><div id=info><span><u class='two'>x<template>no</template><em>y</p>z",
+        '<div id=info><br class=one><p class="one two">k<li>l<li>m</p></div>']
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
+    found = [r.v for r in rows.select("i", container_text(rows.h, RULES).alias("v")).orderBy("i").collect()]
+    assert found == [Walk(RULES).text(p) for p in pages] == ["a b", "x y", "k l m"]

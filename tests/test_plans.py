@@ -59,3 +59,10 @@ def test_scans_read_the_needed_columns(spark):
 def test_pages_and_entities_are_read_without_python(spark):
     for name in ("page_profile", "page_fields", "clean_names", "feed_to_prices", "feed_to_periods", "resolve_identity", "merge_by_key"):
         assert "EvalPython" not in plan(spark, name)
+
+
+def test_pages_of_a_small_table_are_dealt_over_tasks(spark):
+    """One row group of customers makes pages that are far longer than its rows."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("page_profile", "page_holdings"):
+        assert QUERIES[name](spark, FOLDER).rdd.getNumPartitions() == parts > 1
