@@ -5,6 +5,7 @@ import re
 import pytest
 
 from equifacts.bindings import QUERIES
+from equifacts.session import PACKED, configure
 
 FOLDER = "/root/testdata/sf0.001"
 # These run jobs of their own while they are built; their steps are covered by the others.
@@ -66,3 +67,15 @@ def test_pages_of_a_small_table_are_dealt_over_tasks(spark):
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name in ("page_profile", "page_holdings"):
         assert QUERIES[name](spark, FOLDER).rdd.getNumPartitions() == parts > 1
+
+
+def test_tasks_are_packed_by_fewer_bytes_than_spark_does(spark):
+    """A size that was given stands."""
+    old = spark.conf.get(PACKED)
+    try:
+        for given, used in ((None, "16m"), ("8m", "8m"), ("128m", "128m")):
+            spark.conf.unset(PACKED) if given is None else spark.conf.set(PACKED, given)
+            configure(spark)
+            assert spark.conf.get(PACKED) == used
+    finally:
+        spark.conf.set(PACKED, old)
