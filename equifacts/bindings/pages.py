@@ -31,8 +31,11 @@ def page_fields(d: Data) -> DataFrame:
         F.regexp_extract("html", r"track\((\d+)\)", 1).try_cast("long").alias("tracker"))
 
 
-def company_pages(d: Data) -> DataFrame:
-    """A profile page per customer; some lack the container, the text or a sound block."""
+def company_pages(d: Data, customers: DataFrame | None = None) -> DataFrame:
+    """A profile page per customer; some lack the container, the text or a sound block.
+
+    Of the given ``customers``, or of all.
+    """
     nation = F.col("c_nationkey")
     info = F.struct(F.lit(1).alias("success"), F.struct(
         F.struct(
@@ -70,7 +73,7 @@ def company_pages(d: Data) -> DataFrame:
         F.lit('<div class="b" style="display: none;">\n'), block, F.lit("</div></div><script>\nvar summary_jsn = '"),
         holdings, F.lit("';</script></body></html>"))
     # A page is long and much is done with it, a customer's row is short.
-    rows = spread(d.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
+    rows = spread((d.customer if customers is None else customers).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
     return rows.select("c_custkey", html.alias("body"))
 
 

@@ -5,6 +5,8 @@ import re
 import pytest
 
 from equifacts.bindings import QUERIES
+from equifacts.bindings.catalog import Data
+from equifacts.bindings.reports import landed_tables
 from equifacts.session import PACKED, configure
 
 FOLDER = "/root/testdata/sf0.001"
@@ -79,3 +81,8 @@ def test_tasks_are_packed_by_fewer_bytes_than_spark_does(spark):
             assert spark.conf.get(PACKED) == used
     finally:
         spark.conf.set(PACKED, old)
+
+
+def test_pages_of_a_run_are_made_after_the_join(spark):
+    text = landed_tables(Data(spark, FOLDER)).pages._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("company_info") < text.index("Join ")
