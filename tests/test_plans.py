@@ -75,7 +75,7 @@ def test_tasks_are_packed_by_fewer_bytes_than_spark_does(spark):
     """A size that was given stands."""
     old = spark.conf.get(PACKED)
     try:
-        for given, used in ((None, "16m"), ("8m", "8m"), ("128m", "128m")):
+        for given, used in ((None, "4m"), ("8m", "8m"), ("128m", "128m")):
             spark.conf.unset(PACKED) if given is None else spark.conf.set(PACKED, given)
             configure(spark)
             assert spark.conf.get(PACKED) == used
